@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from coldtide.llm import quality
+from coldtide.llm import pieces, quality
 
 QUERIES = {
     "op4_quality_rules": quality.op4,
+    "op6_sentencepiece": pieces.op6,
 }
 
 ORACLES = {
