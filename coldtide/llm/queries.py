@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from coldtide.llm import pieces, quality
+from coldtide.llm import packing, pieces, quality
 
 QUERIES = {
     "op4_quality_rules": quality.op4,
+    "op5_best_two_fit": packing.op5,
     "op6_sentencepiece": pieces.op6,
 }
 
