@@ -22,9 +22,16 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def spaced(text: Column) -> Column:
+    """The text with every blank character as a space; byte searches only."""
+    for blank in BLANKS[1:]:
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return text
+
+
 def words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; null gives an empty array."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), BLANK + "+"), lambda w: w != "")
+    return F.filter(F.split(spaced(F.coalesce(text, F.lit(""))), " "), lambda w: w != "")
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:

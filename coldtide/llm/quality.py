@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coldtide.llm.common import BLANK, BLANKS, bind, words
+from coldtide.llm.common import BLANKS, bind, spaced, words
 
 
 @dataclass(frozen=True)
@@ -43,33 +43,47 @@ class Limits:
 
 
 def repeated_words(tokens: Column) -> Column:
-    """Words that lie in a 3-word window found twice or more."""
+    """Words that lie in a 3-word window found twice or more.
+
+    Windows are compared by hash. Texts without a repeat, nearly all, end at
+    the size of the distinct hashes; only others sort (hash, position).
+    """
 
     def covered(starts: Column) -> Column:
         gain = F.transform(starts, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(starts, k + 1) - p, F.lit(3))))
         return F.aggregate(gain, F.lit(0), lambda a, b: a + b)
 
-    def again(windows: Column) -> Column:
-        same = F.filter(windows, lambda x, i: (F.get(windows, i - 1)["h"] == x["h"]) | (F.get(windows, i + 1)["h"] == x["h"]))
+    def again(pairs: Column) -> Column:
+        same = F.filter(pairs, lambda x, i: (F.get(pairs, i - 1)["h"] == x["h"]) | (F.get(pairs, i + 1)["h"] == x["h"]))
         return bind(F.sort_array(F.transform(same, lambda x: x["i"])), covered)
 
+    def hashed(h: Column) -> Column:
+        pairs = F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(bind(F.sort_array(pairs), again))
+
     def windows(w: Column) -> Column:
-        all_of = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")))
-        return F.when(F.size(w) < 4, F.lit(0)).otherwise(bind(F.sort_array(all_of), again))
+        starts = F.sequence(F.lit(0), F.size(w) - 3)
+        return F.when(F.size(w) < 4, F.lit(0)).otherwise(bind(F.transform(starts, lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))), hashed))
 
     return bind(tokens, windows)
 
 
-def base_columns(text: Column, limits: Limits) -> list[Column]:
-    """The per-text measures as columns; ``n_words`` and the rest are longs."""
+def without(text: Column, marks: str) -> Column:
+    for mark in marks:
+        text = F.replace(text, F.lit(mark), F.lit(""))
+    return text
+
+
+def base_columns(text: Column) -> list[Column]:
+    """The per-text measures as columns of longs."""
     whole = F.coalesce(text, F.lit(""))
-    lines = F.filter(F.split(whole, "\n"), lambda x: F.translate(x, BLANKS, "") != "")
+    lines = F.filter(F.split(whole, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
+    counted = bind(words(text), lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).cast("long").alias("r")))
     return [
-        F.size(words(text)).cast("long").alias("n_words"),
-        F.length(F.translate(whole, BLANKS, "")).cast("long").alias("word_chars"),
-        (F.length(whole) - F.length(F.translate(whole, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+        counted.alias("_counted"),
+        F.length(without(whole, BLANKS)).cast("long").alias("word_chars"),
+        (F.length(whole) - F.length(without(whole, "#*$%&|<>"))).cast("long").alias("n_symbols"),
         bind(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        repeated_words(words(text)).cast("long").alias("n_repeat_words"),
     ]
 
 
@@ -81,8 +95,9 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFra
 def _lines(rows: DataFrame) -> DataFrame:
     """One row per line with a word: document key, position, words, line key."""
     one = rows.select("_id", "_t", "_host", F.posexplode(F.split("_text", "\n")).alias("_pos", "_line"))
-    one = one.withColumn("_line", F.trim(F.regexp_replace(F.lower("_line"), BLANK + "+", " "))).where("_line <> ''")
-    return one.select("_id", "_t", "_host", "_pos", (F.length("_line") - F.length(F.translate("_line", " ", "")) + 1).alias("_w"), F.xxhash64("_host", "_line").alias("_key"))
+    line = F.trim(spaced(F.lower("_line")))
+    one = one.withColumn("_line", line).withColumn("_line", F.when(F.contains(F.col("_line"), F.lit("  ")), F.regexp_replace("_line", " +", " ")).otherwise(F.col("_line"))).where("_line <> ''")
+    return one.select("_id", "_t", "_host", "_pos", (F.length("_line") - F.length(F.replace("_line", F.lit(" "), F.lit(""))) + 1).alias("_w"), F.xxhash64("_host", "_line").alias("_key"))
 
 
 def boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", limits: Limits = Limits()) -> DataFrame:
@@ -121,7 +136,7 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     counts are shuffled.
     """
     rows = _rows(docs, id_col, text_col, host_col)
-    base = rows.select("_id", "_t", "_host", *base_columns(F.col("_text"), limits))
+    base = rows.select("_id", "_t", "_host", *base_columns(F.col("_text"))).withColumns({"n_words": F.col("_counted.n"), "n_repeat_words": F.col("_counted.r")})
     out = _joined(base, removals(docs, id_col, text_col, host_col, limits).drop("_gone"))
     failed = (F.col("n_words") < limits.min_words) | (100 * F.col("n_repeat_words") > limits.repeat_percent * F.col("n_words"))
     lost = F.coalesce(F.col("_lost_r"), F.lit(0))
@@ -140,9 +155,8 @@ def apply(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     """
     keep = [c for c in docs.columns if c != text_col]
     rows = docs.select(F.struct(*keep).alias("_row"), docs[id_col].alias("_id"), docs[text_col].alias("_text"), F.xxhash64(docs[text_col]).alias("_t"), F.xxhash64(docs[host_col].isNull(), docs[host_col]).alias("_host"))
-    n_words = F.size(words(F.col("_text")))
-    rows = rows.withColumn("_n", n_words).where(F.col("_n") >= limits.min_words)
-    rows = rows.where(100 * repeated_words(words(F.col("_text"))) <= limits.repeat_percent * F.col("_n"))
+    rows = rows.withColumn("_c", base_columns(F.col("_text"))[0]).withColumn("_n", F.col("_c.n"))
+    rows = rows.where((F.col("_n") >= limits.min_words) & (100 * F.col("_c.r") <= limits.repeat_percent * F.col("_n")))
     out = _joined(rows, removals(docs, id_col, text_col, host_col, limits))
     out = out.where(F.col("_n") - F.coalesce(F.col("_lost_r"), F.lit(0)) >= limits.min_left * F.col("_n"))
     left = F.array_join(F.filter(F.split("_text", "\n"), lambda x, i: ~F.array_contains(F.col("_gone_r"), i)), "\n")
