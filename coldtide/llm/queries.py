@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from coldtide.llm import langid, packing, pieces, quality
+from coldtide.llm import langid, packing, pieces, quality, urls
 
 QUERIES = {
     "op4_quality_rules": quality.op4,
     "op5_best_two_fit": packing.op5,
     "op6_sentencepiece": pieces.op6,
+    "op7_url_filter": urls.op7,
     "op10_language_id": langid.op10,
 }
 
