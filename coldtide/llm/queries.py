@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from coldtide.llm import langid, packing, pieces, quality, urls
+from coldtide.llm import html, langid, packing, pieces, quality, urls
 
 QUERIES = {
     "op4_quality_rules": quality.op4,
     "op5_best_two_fit": packing.op5,
     "op6_sentencepiece": pieces.op6,
     "op7_url_filter": urls.op7,
+    "op8_html_main_text": html.op8,
     "op10_language_id": langid.op10,
 }
 
