@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from coldtide.llm import html, langid, packing, pieces, quality, urls
+from coldtide.llm import html, langid, packing, pieces, quality, sharding, urls
 
 QUERIES = {
+    "op1_sharding": sharding.op1,
     "op4_quality_rules": quality.op4,
     "op5_best_two_fit": packing.op5,
     "op6_sentencepiece": pieces.op6,
@@ -14,5 +15,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_sharding": sharding.SQL,
     "op4_quality_rules": quality.SQL,
 }
