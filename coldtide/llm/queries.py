@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from coldtide.llm import html, imatch, langid, packing, pieces, quality, sharding, urls
+from coldtide.llm import html, imatch, langid, linededup, packing, pieces, quality, sharding, urls
 
 QUERIES = {
     "op1_sharding": sharding.op1,
+    "op2_line_dedup": linededup.op2,
     "op3_i_match": imatch.op3,
     "op4_quality_rules": quality.op4,
     "op5_best_two_fit": packing.op5,
