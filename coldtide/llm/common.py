@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Bits of a bitmap; its size is the same for any number of keys.
+BITS = 26
+
 #: Java and RE2 pattern of white space between words.
 BLANK = r"[\x20\x09-\x0D]"
 #: The characters of BLANK, for translate().
@@ -34,5 +38,19 @@ def words(text: Column) -> Column:
     return F.filter(F.split(spaced(F.coalesce(text, F.lit(""))), " "), lambda w: w != "")
 
 
-def table(spark, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def bitmap(keys: DataFrame, name: str) -> np.ndarray:
+    """Bitmap of the upper BITS bits of a long column, as 64-bit words.
+
+    Words are combined by Spark; at most 2^(BITS - 6) of them reach the driver.
+    """
+    bit = F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned({name}, {64 - BITS}) & 63 as int)))")
+    found = keys.groupBy(F.shiftrightunsigned(name, 64 - BITS + 6).cast("int").alias("w")).agg(bit.alias("b")).toPandas()
+    bits = np.zeros(1 << (BITS - 6), np.uint64)
+    bits[found["w"].to_numpy(np.int64)] = found["b"].to_numpy(np.int64).view(np.uint64)
+    return bits
+
+
+def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which unsigned keys may be among those of the bitmap."""
+    slot = keys >> np.uint64(64 - BITS)
+    return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)

@@ -163,6 +163,7 @@ def predicted(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
     ship_code(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     keep = [id_col] if keep is None else keep
+    at = keep.index(text_col) if text_col in keep else len(keep)
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,11 +175,12 @@ def predicted(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
         for batch in batches:
             found = []
             for first in range(0, batch.num_rows, 256):
-                found += scorer.predict([x or "" for x in batch.column(len(keep)).slice(first, 256).to_pylist()])
+                found += scorer.predict([x or "" for x in batch.column(at).slice(first, 256).to_pylist()])
             columns = batch.columns[: len(keep)] + [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score"])
 
-    return docs.select(*(docs[c] for c in keep), docs[text_col].alias("_text")).mapInArrow(run, f"{fields}, lang_pred string, score double")
+    sent = [docs[c] for c in keep] + [docs[text_col].alias("_text")] * (text_col not in keep)
+    return docs.select(*sent).mapInArrow(run, f"{fields}, lang_pred string, score double")
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

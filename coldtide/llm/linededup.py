@@ -34,9 +34,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coldtide.llm.common import BITS, bitmap
 from coldtide.session import ship_code, staged
 
-BITS = 26
 BASE = np.uint64(0x9E3779B97F4A7C15)
 LINES = "_id {kind}, _t long, _pos int, _k1 long, _k2 long, _h1 long, _h2 long, _h3 long, _h4 long"
 
@@ -101,15 +101,6 @@ def _first() -> F.Column:
     return F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("id"), F.col("_t").alias("t"), F.col("_pos").alias("p"))
 
 
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """A bitmap of 2^BITS bits of ``_k1`` values; its size is fixed."""
-    slot = F.shiftrightunsigned("_k1", 64 - BITS)
-    held = keys.groupBy(F.shiftright(slot, 6).cast("int").alias("w")).agg(F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned(_k1, {64 - BITS}) & 63 as int)))").alias("b")).toPandas()
-    bits = np.zeros(1 << (BITS - 6), np.uint64)
-    bits[held["w"].to_numpy(np.int64)] = held["b"].to_numpy(np.int64).view(np.uint64)
-    return bits
-
-
 def candidates(table: DataFrame) -> DataFrame:
     """Distinct lines that share a half with another: keys, first, sides."""
     distinct = table.groupBy("_k1", "_k2").agg(F.min(_first()).alias("_first"), *(F.max(f"_h{i}").alias(f"_h{i}") for i in range(1, 5)))
@@ -122,7 +113,7 @@ def candidates(table: DataFrame) -> DataFrame:
 def _texts(docs: DataFrame, id_col: str, text_col: str, min_words: int, found: DataFrame) -> DataFrame:
     """The candidates with their lines, read again from the documents."""
     spark = docs.sparkSession
-    bits = spark.sparkContext.broadcast(_bitmap(found))
+    bits = spark.sparkContext.broadcast(bitmap(found, "_k1"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = bits.value

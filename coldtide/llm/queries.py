@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from coldtide.llm import html, imatch, langid, linededup, packing, pieces, quality, sharding, urls
+from coldtide.llm import html, imatch, jaccard, langid, linededup, packing, pieces, quality, sharding, urls
 
 QUERIES = {
     "op1_sharding": sharding.op1,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_sentencepiece": pieces.op6,
     "op7_url_filter": urls.op7,
     "op8_html_main_text": html.op8,
+    "op9_ngram_jaccard": jaccard.op9,
     "op10_language_id": langid.op10,
 }
 
