@@ -120,7 +120,7 @@ class BucketReader(DataSourceReader):
         for bucket in partition.buckets if partition else ():
             index, name = bucket.index.encode("utf-8", "surrogateescape"), bucket.bucket_id.encode("utf-8", "surrogateescape")
             source = chunks(store.open, bucket.journal_keys)
-            decoder = JournalDecoder(source, builder.wants_fields)
+            decoder = JournalDecoder(source, builder.wants_fields, "message" in builder.names)
             try:
                 for event in decoder:
                     if low is not None and event.time_ms < low or high is not None and event.time_ms > high:

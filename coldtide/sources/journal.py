@@ -60,10 +60,16 @@ class _More(Exception):
 
 
 class JournalDecoder:
-    """Iterates events. ``position`` is the offset of the record in work."""
+    """Iterates events. ``position`` is the offset of the record in work.
 
-    def __init__(self, chunks: Iterator[bytes], decode_fields: bool = True):
+    Without ``decode_fields`` metadata is walked but not kept. Without
+    ``decode_raw`` as well, all of an event behind its times is skipped, and
+    damage there is not noticed.
+    """
+
+    def __init__(self, chunks: Iterator[bytes], decode_fields: bool = True, decode_raw: bool = True):
         self._chunks, self._want = iter(chunks), decode_fields
+        self._skip = not decode_fields and not decode_raw
         self._buffer, self._start = b"", 0
         self._at = 0
         self.tables: tuple[list[bytes], ...] = ([], [], [], [])
@@ -180,23 +186,39 @@ class JournalDecoder:
         varint, buffer, begin = self._varint, self._buffer, at - 1
         size, at = self._length(at)
         end = at + size
-        self._need(end)
+        if end > len(buffer):
+            raise IndexError
         extension = 0
         if code & 4:
             extension, at = self._length(at, _TOP - 1)
-        if not code & 1:
-            at += 20
-        at += 8
-        _, at = varint(at)
-        _, at = varint(at)
-        delta, at = varint(at)
+        at += 8 if code & 1 else 28
+        # Integers of one byte, nearly all, are read in place.
+        at = at + 1 if buffer[at] < 128 else varint(at)[1]
+        at = at + 1 if buffer[at] < 128 else varint(at)[1]
+        delta = buffer[at]
+        if delta < 128:
+            at += 1
+        else:
+            delta, at = varint(at)
+            delta = ((delta & 0xFFFFFFFF) ^ 0x80000000) - 0x80000000
         fraction, at = varint(at)
-        count, at = varint(at)
+        host, source, sourcetype = self._active
+        time_ms = self._base_time * 1000 + (subsecond_micros(fraction) // 1000 if fraction else 0)
+        if self._skip:
+            if at > end:
+                raise CorruptJournal(f"event ends before its header at offset {self._start + begin}")
+            return Event(time_ms, self._base_index + delta, host, source, sourcetype, b"", []), end
+        count = buffer[at]
+        if count < 128:
+            at += 1
+        else:
+            count, at = varint(at)
         if count > size:
             raise CorruptJournal(f"{count} metadata entries at offset {self._start + begin}")
         fields: list[tuple[bytes, bytes]] = []
-        slices: list[tuple[int, bytes, int, int]] = []
+        slices: list[tuple[int, bytes, int, int]] | None = None
         strings, want, old = self.tables[3], self._want, code <= 2
+        known = len(strings)
         shift = 2 if 32 <= code <= 35 else 0
         for _ in range(count):
             key = buffer[at]
@@ -207,36 +229,41 @@ class JournalDecoder:
             if old:
                 kind, number = 0, key >> 1
             else:
-                key = key << shift & 0xFFFFFFFFFFFFFFFF
+                if shift:
+                    key = key << shift & 0xFFFFFFFFFFFFFFFF
                 kind, number = key & 15, key >> 4
+            values = VALUE_COUNTS[kind]
             first = second = 0
-            for i in range(VALUE_COUNTS[kind]):
-                value, at = varint(at)
-                if i == 0:
-                    first = value
-                elif i == 1:
-                    second = value
-            if not want or not 1 <= number <= len(strings):
+            if values:
+                first = buffer[at]
+                if first < 128:
+                    at += 1
+                else:
+                    first, at = varint(at)
+                if values > 1:
+                    second, at = varint(at)
+                    if values > 2:
+                        at = varint(at)[1]
+            if not want or not 1 <= number <= known:
                 continue
-            name = strings[number - 1]
             if kind == 0:
-                if 1 <= first <= len(strings):
-                    fields.append((name, strings[first - 1]))
+                if 1 <= first <= known:
+                    fields.append((strings[number - 1], strings[first - 1]))
             elif kind == 8:
-                fields.append((name, b"%d" % first))
+                fields.append((strings[number - 1], b"%d" % first))
             elif kind == 9:
-                fields.append((name, b"-%d" % first if first else b"0"))
+                fields.append((strings[number - 1], b"-%d" % first if first else b"0"))
             elif kind == 4:
-                slices.append((len(fields), name, first, second))
-                fields.append((name, b""))
+                if slices is None:
+                    slices = []
+                slices.append((len(fields), strings[number - 1], first, second))
+                fields.append((strings[number - 1], b""))
         at += extension
         if at > end:
             raise CorruptJournal(f"event ends before its header at offset {self._start + begin}")
         raw = buffer[at:end]
-        for place, name, length, offset in slices:
-            if offset + length <= len(raw):
-                fields[place] = (name, raw[offset : offset + length])
-        delta = ((delta & 0xFFFFFFFF) ^ 0x80000000) - 0x80000000
-        time_ms = self._base_time * 1000 + subsecond_micros(fraction) // 1000
-        host, source, sourcetype = self._active
+        if slices:
+            for place, name, length, offset in slices:
+                if offset + length <= len(raw):
+                    fields[place] = (name, raw[offset : offset + length])
         return Event(time_ms, self._base_index + delta, host, source, sourcetype, raw, fields), end

@@ -59,6 +59,13 @@ def test_unknown_opcodes(code):
         decoded(GOLDEN[:7] + bytes([code]))
 
 
+def test_less_is_decoded_when_less_is_asked():
+    bare = decoded(GOLDEN, decode_fields=False)
+    assert [e[:6] for e in bare] == [e[:6] for e in decoded(GOLDEN)] and not any(e.fields for e in bare)
+    times = decoded(GOLDEN, decode_fields=False, decode_raw=False)
+    assert [e[:5] for e in times] == [e[:5] for e in decoded(GOLDEN)] and not any(e.raw for e in times)
+
+
 def test_skipped_records():
     hashed, private = bytes([11]) + bytes(range(32)), bytes([9]) + varint(300) + bytes(300)
     assert decoded(GOLDEN[:7] + hashed + private + bytes(5) + GOLDEN[7:]) == decoded(GOLDEN)
