@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from coldtide.session import ship_code
 
 WINDOW = 1 << 18
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 LONGEST = 64
 
 
@@ -51,6 +51,25 @@ class WordTokenizer:
         self.tool = Tokenizer.from_file(file)
         self.tool.encode_special_tokens = True
         self.memory: dict[str, bytes] = {}
+        #: A word of one id that only itself can give, to stand between words.
+        self.mark = next((c for c in "§¶†‡¤©®" if len(self.tool.encode(c, add_special_tokens=False).ids) == 1), None)
+        self.mark_id = self.mark and self.tool.encode(self.mark, add_special_tokens=False).ids[0]
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        """Ids of words: many to a call, cut apart at the mark."""
+        lists = []
+        for first in range(0, len(words), 512):
+            group = words[first : first + 512]
+            joined = f" {self.mark} ".join(group)
+            if self.mark and joined.count(self.mark) == len(group) - 1:
+                ids = np.array(self.tool.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+                ends = np.flatnonzero(ids == self.mark_id).tolist()
+                if len(ends) == len(group) - 1:
+                    raw = ids.tobytes()
+                    lists += [raw[4 * a : 4 * b] for a, b in zip([0, *(e + 1 for e in ends)], [*ends, len(ids)])]
+                    continue
+            lists += [np.array(out.ids, "<u4").tobytes() for out in self.tool.encode_batch_fast(group, add_special_tokens=False)]
+        return lists
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -59,8 +78,7 @@ class WordTokenizer:
         cut = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
         new = list(set().union(*cut).difference(self.memory))
         known = self.memory
-        for word, out in zip(new, self.tool.encode_batch_fast(new, add_special_tokens=False)):
-            known[word] = np.array(out.ids, "<u4").tobytes()
+        known.update(zip(new, self._encode(new)))
         result = [b"".join([known[word] for word in parts]) for parts in cut]
         for word in new:
             if len(word) > LONGEST:
