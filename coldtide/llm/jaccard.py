@@ -295,7 +295,7 @@ def apply(docs: DataFrame, like: Similarity = Similarity(5, 80), id_col: str = "
     """The documents but those whose component has a smaller id."""
     found = classes(docs, like, id_col, text_col)
     gone = found.where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
