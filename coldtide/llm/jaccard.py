@@ -255,7 +255,9 @@ def joined(docs: DataFrame, like: Similarity, id_col: str, text_col: str, summar
     links, tested, label, turn = None, None, None, 0
     while True:
         named = live.withColumn("label", F.col("node")) if label is None else live.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        each = named.groupBy("key", "label").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", F.col("key") * turn, F.lit(turn)).alias("o"), F.col("node").alias("pivot"))).alias("p"))
+        # The first pivots are the same for all keys, later ones differ by key.
+        order = F.xxhash64("node", *(["key", F.lit(turn)] if turn else []))
+        each = named.groupBy("key", "label").agg(F.count("*").alias("n"), F.min(F.struct(order.alias("o"), F.col("node").alias("pivot"))).alias("p"))
         keys = each.groupBy("key").agg(F.count("*").alias("labels"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inner"), F.min(F.struct("p.o", "p.pivot", "label")).alias("p"))
         keys = staged(keys.where("labels > 1").select("key", "n", "inner", "p.pivot", F.col("p.label").alias("pivot_label")), "open-keys")
         left = keys.agg(F.count("*"), F.sum((F.col("n") * F.col("n") - F.col("inner")) / 2)).first()
