@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bits of a bitmap; its size is the same for any number of keys.
-BITS = 26
+BITS = 24
 
 #: Java and RE2 pattern of white space between words.
 BLANK = r"[\x20\x09-\x0D]"
