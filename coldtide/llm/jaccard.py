@@ -46,7 +46,6 @@ from coldtide.session import ship_code, staged
 ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 WIDE = 8
 STEP = 1.6
-BLANKS = str.maketrans("\t\n\x0b\x0c\r", "     ")
 REMEMBERED = 500_000
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -91,21 +90,38 @@ def group_top(g: int) -> int:
 
 
 class Shingler:
-    """Sorted distinct shingle hashes of texts; word hashes are remembered."""
+    """Sorted distinct shingle hashes of texts.
+
+    Words are numbered as they come; a table has the hash of each number's
+    lower-cased word, so that a text costs one look-up per word.
+    """
 
     def __init__(self, words: int):
         self.words = words
-        self.memory: dict[str, int] = {}
+        self.numbers: dict[str, int] = {}
+        self.hashes = np.zeros(1 << 16, np.uint64)
+
+    def learn(self, words: set[str]) -> None:
+        first = len(self.numbers)
+        if first + len(words) > len(self.hashes):
+            grown = np.zeros(2 * (first + len(words)), np.uint64)
+            grown[:first] = self.hashes[:first]
+            self.hashes = grown
+        for n, word in enumerate(words, first):
+            self.numbers[word] = n
+            self.hashes[n] = xxhash.xxh3_64_intdigest(word.translate(ASCII_LOWER))
 
     def sets(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        if len(self.memory) > REMEMBERED:
-            self.memory = {}
-        cut = [[w for w in x.translate(ASCII_LOWER).translate(BLANKS).split(" ") if w] if x else [] for x in texts]
-        known = self.memory
-        for word in set().union(*cut).difference(known):
-            known[word] = xxhash.xxh3_64_intdigest(word)
+        if len(self.numbers) > REMEMBERED:
+            self.numbers = {}
+        cut = []
+        for text in texts:
+            parts = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").replace("\x0b", " ").replace("\x0c", " ").split(" ")
+            cut.append([w for w in parts if w] if "" in parts else parts)
+        self.learn(set().union(*cut).difference(self.numbers))
+        number = self.numbers.__getitem__
         for parts in cut:
-            h = np.array([known[w] for w in parts], np.uint64)
+            h = self.hashes[np.fromiter(map(number, parts), np.int64, len(parts))]
             k = min(self.words, len(h))
             if not k:
                 yield h
@@ -138,12 +154,12 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"))
+    return docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"), F.xxhash64(docs[text_col]).alias("_x"))
 
 
 def summaries(docs: DataFrame, like: Similarity, id_col: str, text_col: str) -> DataFrame:
-    """Per row: id, set size, digest of the set, and per size group (the own
-    and, where needed, the next) its segment keys."""
+    """Per row: id, text hash, set size, digest of the set, and per size group
+    (the own and, where needed, the next) its segment keys."""
     ship_code(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -163,9 +179,9 @@ def summaries(docs: DataFrame, like: Similarity, id_col: str, text_col: str) ->
                         for i in (0, 1):
                             keys[i].append(segment_keys(held, groups[i], like.fragments(groups[i])) if i < len(groups) else empty)
                 lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, k)]), pa.int32()), _signed(np.concatenate([empty, *k]))) for k in keys]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size, pa.int64()), _signed(np.array(a, np.uint64)), _signed(np.array(b, np.uint64)), *lists], ["_id", "_n", "_a", "_b", "_own", "_next"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(size, pa.int64()), _signed(np.array(a, np.uint64)), _signed(np.array(b, np.uint64)), *lists], ["_id", "_x", "_n", "_a", "_b", "_own", "_next"])
 
-    return _rows(docs, id_col, text_col).mapInArrow(run, f"_id {kind}, _n long, _a long, _b long, _own array<long>, _next array<long>")
+    return _rows(docs, id_col, text_col).mapInArrow(run, f"_id {kind}, _x long, _n long, _a long, _b long, _own array<long>, _next array<long>")
 
 
 def live_keys(summary: DataFrame, like: Similarity) -> DataFrame:
@@ -198,34 +214,35 @@ def live_keys(summary: DataFrame, like: Similarity) -> DataFrame:
     return staged(held.select("node", F.explode(kept).alias("k")).select("node", F.col("k.key").alias("key")), "live-keys")
 
 
-def fragments(docs: DataFrame, like: Similarity, id_col: str, text_col: str, nodes: DataFrame) -> DataFrame:
+def fragments(docs: DataFrame, like: Similarity, id_col: str, text_col: str, nodes: DataFrame, summary: DataFrame) -> DataFrame:
     """(node, fragment, size, n-grams) of the classes ``nodes``, staged.
 
-    Texts are read again; a bitmap of the nodes, of fixed size, picks those to
-    cut, and sets that are not among the nodes do no harm.
+    One text per class is read again. A bitmap of text hashes, of fixed size,
+    picks texts; what it lets pass beside them does no harm.
     """
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(nodes, "node"))
+    chosen = summary.select(F.col("_a").alias("node"), "_x").join(nodes, "node").groupBy("node").agg(F.min("_x").alias("_x"))
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(chosen, "_x"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, empty, held = Shingler(like.words), np.zeros(0, np.uint64), bits.value
         ends = np.arange(1, WIDE, dtype=np.uint64) << np.uint64(64 - WIDE.bit_length() + 1)
         for batch in batches:
-            for first in range(0, batch.num_rows, 512):
+            wanted = batch.column(0).filter(pa.array(in_bitmap(held, batch.column(1).to_numpy().view(np.uint64))))
+            for first in range(0, len(wanted), 512):
                 node, number, size, lists = [], [], [], []
                 with np.errstate(over="ignore"):
-                    sets = [x for x in tool.sets(batch.column(1).slice(first, 512).to_pylist()) if len(x)]
-                digests = np.array([xxhash.xxh3_128_intdigest(x.tobytes()) >> 64 for x in sets], np.uint64)
-                for k in np.flatnonzero(in_bitmap(held, digests)) if len(sets) else []:
-                    for f, piece in enumerate(np.split(sets[k], np.searchsorted(sets[k], ends))):
-                        if len(piece):
-                            node.append(digests[k])
-                            number.append(f)
-                            size.append(len(sets[k]))
-                            lists.append(piece)
-                grams = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, lists)]), pa.int32()), _signed(np.concatenate([empty, *lists])))
-                yield pa.RecordBatch.from_arrays([_signed(np.array(node, np.uint64)), pa.array(number, pa.int32()), pa.array(size, pa.int64()), grams], ["node", "fragment", "size", "grams"])
-
-    cut = _rows(docs, id_col, text_col).mapInArrow(run, "node long, fragment int, size long, grams array<long>")
+                    for grams in tool.sets(wanted.slice(first, 512).to_pylist()):
+                        digest = xxhash.xxh3_128_intdigest(grams.tobytes()) >> 64
+                        for f, piece in enumerate(np.split(grams, np.searchsorted(grams, ends))):
+                            if len(piece):
+                                node.append(digest)
+                                number.append(f)
+                                size.append(len(grams))
+                                lists.append(piece)
+                cut = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, lists)]), pa.int32()), _signed(np.concatenate([empty, *lists])))
+                yield pa.RecordBatch.from_arrays([_signed(np.array(node, np.uint64)), pa.array(number, pa.int32()), pa.array(size, pa.int64()), cut], ["node", "fragment", "size", "grams"])
+
+    cut = _rows(docs, id_col, text_col).select("_text", "_x").mapInArrow(run, "node long, fragment int, size long, grams array<long>")
     return staged(cut.dropDuplicates(["node", "fragment"]), "fragments")
 
 
@@ -251,7 +268,7 @@ def joined(docs: DataFrame, like: Similarity, id_col: str, text_col: str, summar
     rows = live.count()
     if not rows:
         return None
-    held = fragments(docs, like, id_col, text_col, live.select("node").distinct())
+    held = fragments(docs, like, id_col, text_col, live.select("node").distinct(), summary)
     links, tested, label, turn = None, None, None, 0
     while True:
         named = live.withColumn("label", F.col("node")) if label is None else live.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
