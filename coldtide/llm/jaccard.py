@@ -13,11 +13,12 @@ into one are its segment.
    order of frequency, and two partners still share one of the rest (prefix
    filtering): empty segments and those of common passages go. Size groups are
    a fixed ratio wide; a set that can pair with the next group enters it too.
-3. Members of a key are not paired with each other. They are compared with one
-   pivot, then, while keys span several components, with further pivots; when
-   the pairs left over, of different components and not compared, are no more
-   than linear in the rows, those are compared. A link is thus either tested or
-   implied by tested ones, and none is lost.
+3. Members of a key are not paired with each other at first. They are compared
+   with one pivot, then, while keys span several components and pivots gain
+   links, with further pivots. At the end pairs of classes that share a key, are
+   in different components and were not compared yet are compared, each once. A
+   link is thus either tested or implied by tested ones, and none is lost; what
+   pairs remain are of texts alike but under the limit.
 4. Partial overlaps of compared classes are counted apart in each of a fixed
    number of wide fragments and summed per pair; the sums decide exactly.
 
@@ -246,15 +247,36 @@ def fragments(docs: DataFrame, like: Similarity, id_col: str, text_col: str, nod
     return staged(cut.dropDuplicates(["node", "fragment"]), "fragments")
 
 
-def verified(pairs: DataFrame, held: DataFrame, like: Similarity) -> DataFrame:
-    """The pairs (a, b) that link, by partial overlaps summed over fragments."""
+def overlaps(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+    """Overlap of each pair: counted per fragment, summed over fragments."""
+    held: dict[tuple[int, int], frozenset[int]] = {}
+    for node, fragment, grams in zip(sets["node"].to_pylist(), sets["fragment"].to_pylist(), sets["grams"].to_pylist()):
+        held[node, fragment] = frozenset(grams)
+    none: frozenset[int] = frozenset()
+    a, b = pairs["a"].to_pylist(), pairs["b"].to_pylist()
+    same = [sum(len(held.get((x, f), none) & held.get((y, f), none)) for f in range(WIDE)) for x, y in zip(a, b)]
+    return pairs.select(["a", "b", "n", "m"]).append_column("same", pa.array(same, pa.int64()))
+
+
+def verified(pairs: DataFrame, held: DataFrame, like: Similarity, per_cell: int = 20_000) -> DataFrame:
+    """The pairs (a, b) that link, by partial overlaps summed over fragments.
+
+    Pairs are dealt to cells of a grid by the hashes of both sides, about
+    ``per_cell`` to one, and a class is sent once to each cell that compares
+    it: not once per pair.
+    """
     sizes = held.groupBy("node").agg(F.max("size").alias("size"))
-    left, right = (sizes.select(F.col("node").alias(c), F.col("size").alias(f"{c}_size")) for c in "ab")
-    fit = pairs.join(left, "a").join(right, "b").where(f"100 * least(a_size, b_size) >= {like.percent} * greatest(a_size, b_size)")
-    ours = held.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("x"))
-    theirs = held.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("y"))
-    part = fit.join(ours, "a").join(theirs, ["b", "fragment"]).select("a", "b", "a_size", "b_size", F.size(F.array_intersect("x", "y")).alias("same"))
-    total = part.groupBy("a", "b").agg(F.sum("same").alias("same"), F.max("a_size").alias("n"), F.max("b_size").alias("m"))
+    left, right = (sizes.select(F.col("node").alias(c), F.col("size").alias(n)) for c, n in ("an", "bm"))
+    wide = max(2, math.ceil(math.sqrt(pairs.count() / per_cell)))
+    cell = F.pmod(F.xxhash64("a"), F.lit(wide)) * wide + F.pmod(F.xxhash64("b", F.lit(1)), F.lit(wide))
+    fit = pairs.join(left, "a").join(right, "b").where(f"100 * least(n, m) >= {like.percent} * greatest(n, m)").select(cell.alias("cell"), "a", "b", "n", "m")
+    needed = fit.select(F.col("cell").alias("at"), F.col("a").alias("node")).union(fit.select("cell", "b")).distinct()
+    sent = needed.join(held, "node").select("at", "node", "fragment", "grams")
+
+    def compare(ours: pa.Table, theirs: pa.Table) -> pa.Table:
+        return overlaps(ours, theirs)
+
+    total = fit.groupBy("cell").cogroup(sent.groupBy("at")).applyInArrow(compare, "a long, b long, n long, m long, same long")
     return total.where(f"100 * same >= {like.percent} * (n + m - same)").select("a", "b")
 
 
@@ -269,7 +291,7 @@ def joined(docs: DataFrame, like: Similarity, id_col: str, text_col: str, summar
     if not rows:
         return None
     held = fragments(docs, like, id_col, text_col, live.select("node").distinct(), summary)
-    links, tested, label, turn = None, None, None, 0
+    links, tested, label, turn, gained = None, None, None, 0, True
     while True:
         named = live.withColumn("label", F.col("node")) if label is None else live.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
         # The first pivots are the same for all keys, later ones differ by key.
@@ -280,7 +302,7 @@ def joined(docs: DataFrame, like: Similarity, id_col: str, text_col: str, summar
         left = keys.agg(F.count("*"), F.sum((F.col("n") * F.col("n") - F.col("inner")) / 2)).first()
         if not left[0]:
             break
-        last = turn > 0 and left[1] <= linear * rows
+        last = turn > 0 and (left[1] <= linear * rows or not gained)
         open_ = named.join(keys.select("key", "pivot", "pivot_label"), "key")
         if last:
             other = open_.select("key", F.col("node").alias("other"), F.col("label").alias("other_label"))
@@ -291,6 +313,7 @@ def joined(docs: DataFrame, like: Similarity, id_col: str, text_col: str, summar
         pairs = staged(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, "pairs")
         found = staged(verified(pairs, held, like), "links")
         tested = pairs if tested is None else tested.union(pairs)
+        gained = bool(found.take(1))
         links = found if links is None else links.union(found)
         label = staged(components(links), "labels") if links.take(1) else None
         if last:
