@@ -9,8 +9,10 @@ least ``min_pages`` pages and ``min_share`` of the host's pages. Since a
 subtree must be on a fixed share of the host's pages, the list of a host is
 bounded by the subtrees of a page, whatever the host's size.
 
-Defined cases: null or empty html gives an empty text; pages whose html is
-equal count once (copies are not a template); null URLs are one host; a tag,
+Defined cases: null or empty html gives an empty text; pages whose texts are
+equal after the cuts count once, whatever their adverts and menus (copies are
+not a template), and a page that would lose all of its text keeps it whole;
+null URLs are one host; a tag,
 comment, script or style that the end of the page cuts off ends there; ids
 repeat or are null freely; other columns are not read.
 """
@@ -211,8 +213,10 @@ def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", mi
         for batch in batches:
             hosts, keys, page = [], [], []
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = xxhash.xxh3_64_intdigest(html or "") >> 1
-                found = {0, *hashes(content(tree(html or ""))).values()}
+                nodes = content(tree(html or ""))
+                # Copies of an article under other adverts or menus are one page.
+                own = xxhash.xxh3_64_intdigest("\n\n".join(blocks(nodes, frozenset()))) >> 1
+                found = {0, *hashes(nodes).values()}
                 hosts += [host] * len(found)
                 keys += found
                 page += [own] * len(found)
@@ -243,7 +247,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         for batch in batches:
             texts = []
             for html, listed in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                texts.append("\n\n".join(blocks(content(tree(html or "")), frozenset(listed or ()))))
+                nodes = content(tree(html or ""))
+                texts.append("\n\n".join(blocks(nodes, frozenset(listed or ())) or blocks(nodes, frozenset())))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], ["id", "url", "text", "n_chars"])
 
     rows = pages.select(pages[id_col].alias("id"), pages[url_col].alias("url"), pages[html_col].alias("html"), host_key(pages[url_col]).alias("_host"))

@@ -202,3 +202,15 @@ def test_templates_are_removed_per_host(spark):
     assert got[300].text == "" and got[300].n_chars == 0 and html.main_text(pages).count() == len(rows)
     assert html.main_text(pages, broadcast_hosts=-1).where("page_id = 5").first().text == "text 5"
     assert html.main_text(pages.limit(0)).count() == 0
+
+
+def test_copies_under_other_adverts_are_not_a_template(spark):
+    article = "<article><h1>News</h1><p>first part</p><p>second part</p></article>"
+    rows = [(i, f"http://a.org/{i}", f"<nav><a>menu {i}</a></nav><div class=ad>buy {i}</div>{article}") for i in range(40)]
+    rows += [(100 + i, f"http://a.org/own/{i}", f"<article><p>text {i}</p></article>") for i in range(40)]
+    # Cut short in 24 ways, each part stands on many distinct texts.
+    parts = [f"<p>part {k}</p>" for k in range(24)]
+    rows += [(200 + i, f"http://b.org/{i}", f"<article>{''.join(parts[: i + 1])}</article>") for i in range(24)]
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == "News\n\nfirst part\n\nsecond part" and got[100 + i] == f"text {i}" for i in range(40))
+    assert all(got[200 + i] for i in range(24))
