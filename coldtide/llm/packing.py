@@ -41,7 +41,9 @@ class WordTokenizer:
     """A tokenizer of the tokenizers library whose ids of words are remembered.
 
     The vocabulary's rules never look across a space, a tab or a line break,
-    so a text's ids are those of its words, one after the other.
+    so a text's ids are those of its words, one after the other. Its special
+    tokens hold none of these either; in a text they give their own ids, as in
+    the library's plain ``encode``.
     """
 
     def __init__(self, file: str):
@@ -49,7 +51,6 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tool = Tokenizer.from_file(file)
-        self.tool.encode_special_tokens = True
         self.memory: dict[str, bytes] = {}
         #: A word of one id that only itself can give, to stand between words.
         self.mark = next((c for c in "§¶†‡¤©®" if len(self.tool.encode(c, add_special_tokens=False).ids) == 1), None)

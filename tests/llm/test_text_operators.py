@@ -80,6 +80,18 @@ def test_packing_round_trip(spark):
     assert len(by_bin) <= 1.02 * sum(r.length for r in rows) / 4096 + spark.sparkContext.defaultParallelism + 2
 
 
+def test_packing_ids_are_those_of_plain_encode(spark):
+    from tokenizers import Tokenizer
+
+    file = public_tokenizers.path("word_bpe_49k.json")
+    rng = random.Random(5)
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|endoftext|", "|>", "<|", "<|ENDOFTEXT|>", "foo", "Bar", " ", " ", "\n", "\u00a0", "e\u0301", "\u0301", "§", "'s", "7"]
+    texts = ["foo <|endoftext|> bar", "foo<|endoftext|>bar", "<|startoftext|><|endoftext|>"] + ["".join(rng.choice(bits) for _ in range(rng.randint(1, 40))) for _ in range(300)]
+    tool = Tokenizer.from_file(file)
+    for r in packing.pieces(docs_of(spark, texts), file, 1, with_ids=True).collect():
+        assert r.ids == tool.encode(texts[r.doc_id], add_special_tokens=False).ids + [1], texts[r.doc_id]
+
+
 def test_best_two_fit_replaces_the_smallest():
     # Greedy takes 6 and 3 of 10; 2 + 2 in place of 3 leave no gap.
     found = [sorted(x) for x in packing.BestTwoFit(np.array([6, 3, 2, 2]), 10).sequences()]
