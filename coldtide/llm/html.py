@@ -5,9 +5,12 @@ stack. Elements that never hold an article (by tag, role, or class and id words)
 are cut; what is left is the article or main element, if the page has one, else
 the body. The corpus step hashes the subtrees that remain, counts in Spark on
 how many distinct pages of their host each stands, and deletes those on at
-least ``min_pages`` pages and ``min_share`` of the host's pages. Since a
-subtree must be on a fixed share of the host's pages, the list of a host is
-bounded by the subtrees of a page, whatever the host's size.
+least ``min_pages`` pages and ``min_share`` of the host's pages, and whole
+blocks from the far lower ``rare_share`` on, for hosts of many layouts. Blocks
+between the two shares stay where they are more than half of a page's blocks
+and of its text: that page is a near copy of others. Parts of a sentence, list
+or table need the higher share, since equal words and cells say little. A
+host's lists are bounded by the subtrees of a page over the lower share.
 
 Defined cases: null or empty html gives an empty text; pages whose texts are
 equal after the cuts count once, whatever their adverts and menus (copies are
@@ -46,6 +49,8 @@ SCOPE = frozenset("html body table ul ol dl article main section div td th".spli
 MARKS = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs footer masthead sidebar aside widget cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login share sharing social related recommended comment comments disqus respond reply replies pagination pager contentinfo complementary search toolbar".split())
 NEGATIVE = frozenset("no not has with without non".split())
 KEEP = frozenset("html body main".split())
+#: Besides inline elements, what recurs in articles by itself.
+PARTS = INLINE | frozenset("li dt dd tr td th".split())
 
 
 class Node:
@@ -184,7 +189,10 @@ def blocks(nodes: list[Node], template: frozenset[int]) -> list[str]:
 
 
 def hashes(nodes: list[Node]) -> dict[int, int]:
-    """Signed 64-bit hash of every subtree that holds text, by node identity."""
+    """Signed 64-bit hash of every subtree that holds text, by node identity.
+
+    The lowest bit says whether the subtree is one of PARTS.
+    """
     order, todo = [], list(nodes)
     while todo:
         node = todo.pop()
@@ -195,7 +203,7 @@ def hashes(nodes: list[Node]) -> dict[int, int]:
     for node in reversed(order):
         inner = [str(found.get(id(x), "")) if isinstance(x, Node) else " ".join(x.split()) for x in node.parts]
         if any(inner):
-            value = xxhash.xxh3_64_intdigest("\x00".join([node.tag, *inner]))
+            value = xxhash.xxh3_64_intdigest("\x00".join([node.tag, *inner])) & ~1 | (node.tag in PARTS)
             found[id(node)] = value - (1 << 64) if value >> 63 else value
     return {k: v for k, v in found.items() if k not in tops}
 
@@ -205,8 +213,9 @@ def host_key(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"://([^/?#]*)", 1), F.lit("")))
 
 
-def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = 20, min_share: float = 0.3) -> DataFrame:
-    """Per host the sorted list of subtree hashes that make up its template."""
+def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = 20, min_share: float = 0.3, rare_share: float = 0.01) -> DataFrame:
+    """Per host the sorted lists of subtree hashes that make up its template:
+    those on ``min_share`` of its pages, and the other blocks on ``rare_share``."""
     ship_code(pages.sparkSession)
 
     def subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,32 +236,44 @@ def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", mi
     # Key 0 stands on every page, so its count is the host's number of pages.
     often = counts.where(F.col("_n") >= min_pages).select("_host", F.struct("_key", "_n").alias("_x")).groupBy("_host").agg(F.collect_list("_x").alias("_all"))
     total = F.filter("_all", lambda x: x["_key"] == 0)[0]["_n"]
-    keys = F.transform(F.filter("_all", lambda x: (x["_key"] != 0) & (x["_n"] >= min_share * total)), lambda x: x["_key"])
-    return often.select("_host", F.sort_array(keys).alias("_template")).where(F.size("_template") > 0)
+    common = F.filter("_all", lambda x: (x["_key"] != 0) & (x["_n"] >= min_share * total))
+    rare = F.filter("_all", lambda x: (x["_key"].bitwiseAND(1) == 0) & (x["_key"] != 0) & (x["_n"] >= rare_share * total) & (x["_n"] < min_share * total))
+    lists = [F.sort_array(F.transform(keys, lambda x: x["_key"])).alias(name) for keys, name in ((common, "_template"), (rare, "_rare"))]
+    return often.select("_host", *lists).where(F.size("_template") + F.size("_rare") > 0)
+
 
+def without(nodes: list[Node], common: frozenset[int], rare: frozenset[int]) -> list[str]:
+    """Blocks of a page without its host's template, but never none of its blocks."""
+    kept = blocks(nodes, common) or blocks(nodes, frozenset())
+    if rare and kept:
+        left = blocks(nodes, common | rare)
+        if left and (2 * len(left) >= len(kept) or 2 * sum(map(len, left)) >= sum(map(len, kept))):
+            return left
+    return kept
 
-def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = 20, min_share: float = 0.3, broadcast_hosts: int = 100_000) -> DataFrame:
+
+def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = 20, min_share: float = 0.3, broadcast_hosts: int = 100_000, rare_share: float = 0.01, broadcast_keys: int = 2_000_000) -> DataFrame:
     """Id, url, text and n_chars of every page.
 
     The template lists are staged; they are broadcast only if no more than
-    ``broadcast_hosts`` hosts have one, and joined by host otherwise (adaptive
-    execution splits a hot host).
+    ``broadcast_hosts`` hosts have one, of ``broadcast_keys`` hashes in all,
+    and joined by host otherwise (adaptive execution splits a hot host).
     """
-    lists = staged(templates(pages, url_col, html_col, min_pages, min_share), "templates")
-    if lists.count() <= broadcast_hosts:
+    lists = staged(templates(pages, url_col, html_col, min_pages, min_share, rare_share), "templates")
+    hosts, keys = lists.agg(F.count("*"), F.coalesce(F.sum(F.size("_template") + F.size("_rare")), F.lit(0))).first()
+    if hosts <= broadcast_hosts and keys <= broadcast_keys:
         lists = F.broadcast(lists)
     kinds = [pages.schema[c].dataType.simpleString() for c in (id_col, url_col)]
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for html, listed in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                nodes = content(tree(html or ""))
-                texts.append("\n\n".join(blocks(nodes, frozenset(listed or ())) or blocks(nodes, frozenset())))
+            for html, common, rare in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4))):
+                texts.append("\n\n".join(without(content(tree(html or "")), frozenset(common or ()), frozenset(rare or ()))))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], ["id", "url", "text", "n_chars"])
 
     rows = pages.select(pages[id_col].alias("id"), pages[url_col].alias("url"), pages[html_col].alias("html"), host_key(pages[url_col]).alias("_host"))
-    rows = rows.join(lists, "_host", "left").select("id", "url", "html", "_template")
+    rows = rows.join(lists, "_host", "left").select("id", "url", "html", "_template", "_rare")
     out = rows.mapInArrow(extract, f"id {kinds[0]}, url {kinds[1]}, text string, n_chars long")
     return out.withColumnsRenamed({"id": id_col}) if url_col == "url" else out.withColumnsRenamed({"id": id_col, "url": url_col})
 

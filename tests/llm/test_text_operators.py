@@ -226,3 +226,14 @@ def test_copies_under_other_adverts_are_not_a_template(spark):
     got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[i] == "News\n\nfirst part\n\nsecond part" and got[100 + i] == f"text {i}" for i in range(40))
     assert all(got[200 + i] for i in range(24))
+
+
+def test_template_of_one_layout_among_several(spark):
+    box = "<div><p>Read also our weekly letter</p></div>"
+    # The box, and a word and a list item of the articles, are on a fifth of the pages.
+    rows = [(i, f"http://a.org/{i}", f"<article><p>text {i}</p>" + (f"<p>we <b>too</b> say {i}</p><ul><li>yes<li>item {i}</ul>{box}" if i % 5 == 0 else "") + "</article>") for i in range(150)]
+    # Near copies: one part of four differs.
+    rows += [(200 + i, f"http://a.org/near/{i}", f"<article><p>first</p><p>second</p><p>third</p><p>edit {i}</p></article>") for i in range(30)]
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[5] == "text 5\n\nwe too say 5\n\nyes\n\nitem 5"
+    assert got[6] == "text 6" and got[200] == "first\n\nsecond\n\nthird\n\nedit 0"
