@@ -9,9 +9,12 @@ words; the least wins. Ties go to the language with more training rows, then
 to the first in alphabetical order.
 
 Training reads a sample of labelled rows, chosen by a hash of their ids, of
-``max_rows`` rows in expectation, and keeps at most ``max_words`` words and
-``max_grams`` n-grams of each order per language: the model's size is bounded
-by these parameters, so it is collected and broadcast. Prediction covers whole
+``max_rows`` rows in expectation, but of every label all rows up to
+``label_rows`` and about that many of more, so that no label is lost in a large
+table (at most ``max_rows`` and labels times ``label_rows`` in all). It keeps
+at most ``max_words`` words and ``max_grams`` n-grams of each order per
+language: the model's size is bounded by these parameters, so it is collected
+and broadcast. Prediction covers whole
 texts of all rows.
 
 Defined cases: null text, or one without a letter, gives ``und`` with score 0;
@@ -54,19 +57,23 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 4 == 2, F.lit(False))
 
 
-def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_rows: int) -> DataFrame:
-    """About ``max_rows`` labelled rows by a hash of the id (all if fewer)."""
+def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_rows: int, label_rows: int) -> DataFrame:
+    """About ``max_rows`` labelled rows by a hash of the id (all if fewer), and
+    of each label at least about ``label_rows`` (all if fewer)."""
     known = docs.where(docs[lang_col].isNotNull() & docs[id_col].isNotNull())
-    n = known.select(id_col).count()
     rows = known.select(docs[text_col].alias("_text"), docs[lang_col].alias("_lang"), docs[id_col].alias("_id"))
+    counts = [tuple(r) for r in rows.groupBy("_lang").count().collect()]
+    n = sum(count for _, count in counts)
     if n > max_rows:
-        rows = rows.where(F.pmod(F.xxhash64("_id", F.lit("language sample")), F.lit(1 << 30)) < int((1 << 30) * max_rows / n))
+        below = [(lang, int((1 << 30) * min(1, max(max_rows / n, label_rows / count)))) for lang, count in counts]
+        limits = docs.sparkSession.createDataFrame(below, f"_lang {docs.schema[lang_col].dataType.simpleString()}, _below long")
+        rows = rows.join(F.broadcast(limits), "_lang").where(F.pmod(F.xxhash64("_id", F.lit("language sample")), F.lit(1 << 30)) < F.col("_below"))
     return rows.where("_text is not null").select("_lang", "_text")
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 8000, max_words: int = 20_000, max_grams: int = 8_000, penalty: float = 7.0) -> Model:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 8000, max_words: int = 20_000, max_grams: int = 8_000, penalty: float = 7.0, label_rows: int = 200) -> Model:
     """Fit a model on labelled rows; counting is done by Spark."""
-    rows = sample(docs, id_col, text_col, lang_col, max_rows)
+    rows = sample(docs, id_col, text_col, lang_col, max_rows, label_rows)
     counted = rows.select("_lang", F.explode(F.split(F.lower("_text"), NOT_LETTERS)).alias("_unit")).where("_unit <> ''").groupBy("_lang", "_unit").count()
     padded = F.concat(F.lit(" "), F.col("_unit"), F.lit(" "))
 

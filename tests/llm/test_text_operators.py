@@ -145,6 +145,16 @@ def test_language_accuracy_and_edges(spark):
     assert langid.predicted(edges, nobody).where("lang_pred <> 'und'").count() == 0
 
 
+def test_rare_labels_are_learned_in_large_tables(spark):
+    rare = {3: "xx", 1003: "yy", 1777: "yy"}
+    rows = [(i, f"quix zorv {i}" if i in rare else "the and of", rare.get(i, "en" if i % 2 else "de"), None, 5) for i in range(2000)]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = langid.train(docs, max_rows=20, label_rows=30)
+    assert set(model.languages) == {"en", "de", "xx", "yy"}
+    assert langid.predicted(docs.where("doc_id = 3"), model).first().lang_pred in ("xx", "yy")
+    assert 30 < langid.sample(docs, "doc_id", "text", "lang", 20, 30).count() < 120
+
+
 def test_held_out_rule(spark):
     from pyspark.sql import functions as F
 
