@@ -36,6 +36,12 @@ BAD = "spam farm casino win adult xxx porn pills cheap viagra bets bet gambling
 GOOD = "news blog library school museum garden weather health recipes travel docs wiki research city history music science help support forum daily journal press sport art photo film books maps code data open project team club church town river".split()
 #: Syllables for hosts that say nothing of their pages.
 PLAIN = "an ble ed en er es ha he in ing ly nd on or re sh st th the ti tion wh mar lo ka sen".split()
+#: Words and shapes of the second part, taken from no table: common nouns, and
+#: words of blocked pages, in URLs of other domains and paths. No clean word holds
+#: a blocked one.
+MORE_BAD = "lotto betting bookie roulettes gamble highroller freespins pokies sexcam hotgirls milf hardcore fetish stripper xvideo hookups sexchat lingerie kamagra phentermine xanax diet-pills steroid weightloss getrichquick fastcash quickcash nocreditcheck forex-robot binary-options cryptodouble airdrop giveaway clickhere popup adclick adserve banner-ads trackers pixel-track malware-host virus-download keygens serials cracked nulled iptv-free free-movies fake-id counterfeit essay-writers buy-followers link-exchange seo-backlinks spamlist bulkmail phisher scam ponzi".split()
+MORE_GOOD = "airport animal architect atlas autumn balcony basket beach bicycle biology bridge butter camera canal candle carpenter castle chapel cheese chess citizen climate coffee college copper council country culture dance desert dinner doctor economy engine evening factory family fashion festival fishing flower forest furniture future gallery geography glacier government grammar guitar harbor heritage hiking holiday horse hotel housing insurance island jewelry journey kitchen lake language lawyer lecture leather lighthouse literature local magazine market mathematics medicine mineral minister mountain nature network nursery ocean office opera painting parents physics piano planet poetry police pottery-class prairie printing public radio rainbow reading recipe region repair restaurant road sailor school-board season seminar shelter singer society software soldier spring station stone student summer surgery swimming teacher temple tennis timber tourism tractor traffic train translation tree university-press valley vegetable village violin volunteer water wood writer zebra".split()
+SHAPES = ("https://www.{}.com/", "http://{}.net/index.html", "https://{}online.org/articles/12-title", "http://best{}.us/view.asp?x=1", "https://{}.dev/read/me", "https://{}.de/kategorie/seite", "http://{}.fr/accueil", "https://shop.{}.com/cart/items/9", "https://{}.ac.jp/staff/list", "http://{}-group.eu/contact", "https://en.{}.info/wiki/Main_Page", "http://news.{}.ca/2019/05/item.php")
 
 
 def seed_table() -> list[tuple[str, int]]:
@@ -59,6 +65,9 @@ def seed_table() -> list[tuple[str, int]]:
             plain = PLAIN[(5 * i + k) % len(PLAIN)] + PLAIN[(3 * i + 7 * k) % len(PLAIN)] + PLAIN[(i + k) % len(PLAIN)] * (i % 2)
             rows += [(shaped(word if k else f"{word}-{plain}", turn), 0), (shaped(plain, turn + 1), 0)]
             turn += 1
+    # Both classes go through the shapes in the same turn.
+    for words, label in ((BAD + MORE_BAD, 1), (GOOD + MORE_GOOD, 0)):
+        rows += [(SHAPES[(5 * i + 7 * k) % len(SHAPES)].format(word), label) for i, word in enumerate(words) for k in range(3 + 2 * label)]
     return rows
 
 

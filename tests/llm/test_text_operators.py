@@ -191,6 +191,16 @@ def test_url_model(spark):
     assert urls.judged(pages.limit(0)).count() == 0
 
 
+def test_url_model_on_words_and_shapes_not_in_its_table():
+    model = urls.fit(urls.seed_table())
+    shapes = ["https://{}.co.uk/about", "http://the{}shop.info/index.php?id=7", "https://my-{}.io/2021/04/", "http://{}24.biz/a/b/c.htm", "https://sites.{}.edu/~x/page"]
+    clean = "hospital railway bakery parliament observatory orchestra cathedral botany astronomy cycling theatre zoology linguistics geology aquarium vineyard cinema embassy courthouse kindergarten plumber dentist archive gazette chemistry gymnasium".split()
+    blocked = "roulette blackjack jackpots wager sportsbook erotic hentai camgirls escorts levitra cialis tramadol steroids clickbank adserver phishing spyware payday-cash quickloan".split()
+    for words, label, least in ((clean, 0, 0.75), (blocked, 1, 0.6), (urls.BAD, 1, 0.9), (urls.GOOD, 0, 0.9)):
+        found = [(model.score(*urls.split_url(shape.format(word))) >= 0.5) == bool(label) for word in words for shape in shapes]
+        assert sum(found) >= least * len(found), (label, sum(found), len(found))
+
+
 PAGE = """<!DOCTYPE html><html><head><title>no</title><style>p{}</style></head><body class="no-sidebar">
 <div id="cookie-notice">cookies</div><nav><ul><li>menu</ul></nav><header>head</header>
 <article><h1>T &amp; x</h1><p>one<br>two <b>bo</b>ld<!-- c --><p title="a>b">three &nbsp;&#233;<ul><li>a<li>b</ul>
