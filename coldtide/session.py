@@ -70,9 +70,17 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read again.
 
     This cuts lineage and survives lost executors, and several consumers of
-    the result do not recompute it.
+    the result do not recompute it. ``drop`` deletes it before the application
+    ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Delete the files of a staged table that no later plan reads."""
+    drop_path(df.sparkSession, df._staged_at)
