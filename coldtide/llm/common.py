@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bits of a bitmap; its size is the same for any number of keys.
-BITS = 24
+#: Bits of a key filter per key, at least.
+SPARSE = 16
 
 #: Java and RE2 pattern of white space between words.
 BLANK = r"[\x20\x09-\x0D]"
@@ -38,19 +40,31 @@ def words(text: Column) -> Column:
     return F.filter(F.split(spaced(F.coalesce(text, F.lit(""))), " "), lambda w: w != "")
 
 
-def bitmap(keys: DataFrame, name: str) -> np.ndarray:
-    """Bitmap of the upper BITS bits of a long column, as 64-bit words.
-
-    Words are combined by Spark; at most 2^(BITS - 6) of them reach the driver.
-    """
-    bit = F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned({name}, {64 - BITS}) & 63 as int)))")
-    found = keys.groupBy(F.shiftrightunsigned(name, 64 - BITS + 6).cast("int").alias("w")).agg(bit.alias("b")).toPandas()
-    bits = np.zeros(1 << (BITS - 6), np.uint64)
-    bits[found["w"].to_numpy(np.int64)] = found["b"].to_numpy(np.int64).view(np.uint64)
-    return bits
-
-
-def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Which unsigned keys may be among those of the bitmap."""
-    slot = keys >> np.uint64(64 - BITS)
-    return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+@dataclass
+class KeyFilter:
+    """Which longs may be among the keys of a table: a bitmap on their upper
+    bits, sized by the number of keys, so that at most one in ``SPARSE`` others
+    passes. It is false where the table has more than ``most`` keys: then it
+    isn't made, and callers join by the keys instead."""
+
+    bits: int
+    held: Broadcast | None
+
+    @classmethod
+    def of(cls, keys: DataFrame, name: str, most: int = 1 << 22) -> KeyFilter:
+        number = keys.count()
+        if number > most:
+            return cls(0, None)
+        bits = max(16, (number * SPARSE).bit_length())
+        bit = F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned({name}, {64 - bits}) & 63 as int)))")
+        found = keys.groupBy(F.shiftrightunsigned(name, 64 - bits + 6).cast("int").alias("w")).agg(bit.alias("b")).toPandas()
+        held = np.zeros(1 << (bits - 6), np.uint64)
+        held[found["w"].to_numpy(np.int64)] = found["b"].to_numpy(np.int64).view(np.uint64)
+        return cls(bits, keys.sparkSession.sparkContext.broadcast(held))
+
+    def __bool__(self) -> bool:
+        return self.held is not None
+
+    def may_hold(self, keys: np.ndarray) -> np.ndarray:
+        slot = keys >> np.uint64(64 - self.bits)
+        return (self.held.value[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)

@@ -5,22 +5,23 @@ without a global count. It is cut into fragments; a set's n-grams that fall
 into one are its segment.
 
 1. Documents with equal sets are one class, met by a 128-bit digest.
-2. Candidates: at similarity t, two sets of at most M n-grams differ in at most
+2. At similarity t, two sets of at most M n-grams differ in at most
    d = floor(2 M (1 - t) / (1 + t)) of them, so of d + 1 + s fragments at least
    s + 1 have equal segments in both. Keys are (size group, fragment, segment
    hash). A class with at most s keys that another class shares has no partner
-   and ends here. The others drop their s most frequent keys, in one global
-   order of frequency, and two partners still share one of the rest (prefix
-   filtering): empty segments and those of common passages go. Size groups are
-   a fixed ratio wide; a set that can pair with the next group enters it too.
-3. Members of a key are not paired with each other at first. They are compared
-   with one pivot, then, while keys span several components and pivots gain
-   links, with further pivots. At the end pairs of classes that share a key, are
-   in different components and were not compared yet are compared, each once. A
-   link is thus either tested or implied by tested ones, and none is lost; what
-   pairs remain are of texts alike but under the limit.
-4. Partial overlaps of compared classes are counted apart in each of a fixed
-   number of wide fragments and summed per pair; the sums decide exactly.
+   and ends here. Size groups are a fixed ratio wide; a set that can pair with
+   the next group enters it too.
+3. The n-grams of the other classes are counted among them. From rare to
+   frequent, a set's first n-grams are its keys; place and size bound the sizes
+   of the partners that a key can bring (prefix filtering with places).
+4. Members of a key are compared with its pivot, the one with the fewest
+   n-grams of its own, not with each other. Per fragment, the common n-grams
+   are counted and those of the pivot that the member lacks are marked in a
+   mask; counts and masks are summed per pair. Counts tell links.
+5. Pairs of a key are then compared if they lie in different components, if
+   their sizes fit, and if the pivot's n-grams, without those that either lacks,
+   leave room for enough common ones. A link is thus either counted or implied
+   by counted ones, and none is lost.
 
 Defined cases: null texts, and texts without a word, have the empty set and
 link with nothing; a text of fewer words than an n-gram is one n-gram; a null
@@ -40,12 +41,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coldtide.llm.common import bitmap, in_bitmap
+from coldtide.llm.common import KeyFilter
 from coldtide.llm.components import components
-from coldtide.session import ship_code, staged
+from coldtide.session import drop, ship_code, staged
 
 ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 WIDE = 8
+NEEDED = ["_own", "_own_need", "_next", "_next_need"]
 STEP = 1.6
 REMEMBERED = 500_000
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -63,7 +65,7 @@ class Similarity:
         return 2 * size * (100 - self.percent) // (100 + self.percent)
 
     def slack(self, group: int) -> int:
-        """Most frequent keys that each set of a size group may drop."""
+        """Fragments beyond those that the differences of linked sets need."""
         return max(3, (self.most_changes(group_top(group)) + 1) * 12 // 100)
 
     def fragments(self, group: int) -> int:
@@ -159,8 +161,9 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def summaries(docs: DataFrame, like: Similarity, id_col: str, text_col: str) -> DataFrame:
-    """Per row: id, text hash, set size, digest of the set, and per size group
-    (the own and, where needed, the next) its segment keys."""
+    """Per row: id, text hash, set size, class (128-bit digest of the set, and
+    its first half as a number), and per size group (the own and, where needed,
+    the next) its segment keys and how many it must share."""
     ship_code(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -169,71 +172,76 @@ def summaries(docs: DataFrame, like: Similarity, id_col: str, text_col: str) ->
         for batch in batches:
             for first in range(0, batch.num_rows, 512):
                 part = batch.slice(first, 512)
-                size, a, b, keys = [], [], [], ([], [])
+                size, node, keys, need = [], [], ([], []), ([], [])
                 with np.errstate(over="ignore"):
                     for held in tool.sets(part.column(1).to_pylist()):
                         size.append(len(held))
-                        whole = xxhash.xxh3_128_intdigest(held.tobytes())
-                        a.append(whole >> 64)
-                        b.append(whole & 0xFFFFFFFFFFFFFFFF)
+                        node.append(xxhash.xxh3_128_digest(held.tobytes()))
                         groups = like.groups(len(held)) if len(held) else []
                         for i in (0, 1):
-                            keys[i].append(segment_keys(held, groups[i], like.fragments(groups[i])) if i < len(groups) else empty)
+                            there = i < len(groups)
+                            keys[i].append(segment_keys(held, groups[i], like.fragments(groups[i])) if there else empty)
+                            need[i].append(like.slack(groups[i]) + 1 if there else 1)
+                half = np.frombuffer(b"".join(x[:8] for x in node), ">u8").astype(np.uint64)
                 lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, k)]), pa.int32()), _signed(np.concatenate([empty, *k]))) for k in keys]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(size, pa.int64()), _signed(np.array(a, np.uint64)), _signed(np.array(b, np.uint64)), *lists], ["_id", "_x", "_n", "_a", "_b", "_own", "_next"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(size, pa.int64()), pa.array(node, pa.binary()), _signed(half), lists[0], pa.array(need[0], pa.int64()), lists[1], pa.array(need[1], pa.int64())], ["_id", "_x", "_n", "_node", "_a", *NEEDED])
 
-    return _rows(docs, id_col, text_col).mapInArrow(run, f"_id {kind}, _x long, _n long, _a long, _b long, _own array<long>, _next array<long>")
+    return _rows(docs, id_col, text_col).mapInArrow(run, f"_id {kind}, _x long, _n long, _node binary, _a long, _own array<long>, _own_need long, _next array<long>, _next_need long")
 
 
-def live_keys(summary: DataFrame, like: Similarity) -> DataFrame:
-    """(node, key) rows that prefix filtering leaves, staged.
+def live_classes(summary: DataFrame, like: Similarity) -> DataFrame:
+    """(node, _x) of the classes that share enough segments to have a partner.
 
-    A bitmap of fixed size, of the keys that several classes share, keeps most
-    rows of no use out of the shuffle; what it lets pass, the join decides.
+    Of the linked classes none is missed; others may be among them. _x picks
+    one text of the class.
     """
     each = summary.select("_a", F.explode(F.concat("_own", "_next")).alias("key"))
-    shared = each.groupBy("key").agg(F.min("_a").alias("x"), F.max("_a").alias("y"), F.count("*").alias("n")).where("x <> y").select("key", "n")
+    shared = each.groupBy("key").agg(F.min("_a").alias("x"), F.max("_a").alias("y")).where("x <> y").select("key")
     shared = staged(shared, "shared-keys")
-    bits = summary.sparkSession.sparkContext.broadcast(bitmap(shared, "key"))
+    known = KeyFilter.of(shared, "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = bits.value
         for batch in batches:
-            for i, name in ((2, "_own"), (3, "_next")):
-                lists = batch.column(i)
-                key = lists.flatten().to_numpy()
+            keep = np.zeros(batch.num_rows, bool)
+            for name, least in (("_own", "_own_need"), ("_next", "_next_need")):
+                lists = batch.column(name)
                 row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-                slack = np.array([like.slack(like.groups(n)[i - 2]) if n and i - 2 < len(like.groups(n)) else 0 for n in batch.column(1).to_pylist()], np.int32)
-                ok = in_bitmap(held, key.view(np.uint64))
-                row, key = row[ok], key[ok]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(np.full(len(row), i - 2, np.int32)), pa.array(slack[row]), pa.array(key)], ["node", "part", "slack", "key"])
+                hits = row[known.may_hold(lists.flatten().to_numpy().view(np.uint64))]
+                keep |= np.bincount(hits, minlength=batch.num_rows) >= batch.column(least).to_numpy()
+            yield batch.select(["_node", "_x"]).filter(pa.array(keep))
 
-    rows = summary.select("_a", "_n", "_own", "_next").mapInArrow(run, "node long, part int, slack int, key long")
-    held = rows.join(shared, "key").groupBy("node", "part").agg(F.max("slack").alias("slack"), F.collect_set(F.struct("n", "key")).alias("keys"))
-    held = held.where(F.size("keys") > F.col("slack"))
-    kept = F.slice(F.array_sort("keys"), F.lit(1), F.size("keys") - F.col("slack"))
-    return staged(held.select("node", F.explode(kept).alias("k")).select("node", F.col("k.key").alias("key")), "live-keys")
+    if known:
+        found = summary.select("_node", "_x", *NEEDED).mapInArrow(run, "_node binary, _x long")
+    else:
+        one = summary.groupBy("_node").agg(F.min("_x").alias("_x"), *(F.first(c).alias(c) for c in NEEDED))
+        parts = (one.select("_node", "_x", F.col(f"{c}_need").alias("need"), F.explode(c).alias("key")) for c in ("_own", "_next"))
+        hits = next(parts).unionByName(next(parts)).join(shared, "key", "left_semi").groupBy("_node", "_x", "need").agg(F.count("*").alias("hits"))
+        found = hits.where("hits >= need").select("_node", "_x")
+    return staged(found.groupBy(F.col("_node").alias("node")).agg(F.min("_x").alias("_x")), "live-classes")
 
 
-def fragments(docs: DataFrame, like: Similarity, id_col: str, text_col: str, nodes: DataFrame, summary: DataFrame) -> DataFrame:
-    """(node, fragment, size, n-grams) of the classes ``nodes``, staged.
+def fragments(docs: DataFrame, like: Similarity, id_col: str, text_col: str, live: DataFrame) -> DataFrame:
+    """(node, fragment, size, grams) of the live classes, staged.
 
-    One text per class is read again. A bitmap of text hashes, of fixed size,
-    picks texts; what it lets pass beside them does no harm.
+    One text per class is read again. What a filter lets pass beside them is a
+    class of its own and does no harm.
     """
-    chosen = summary.select(F.col("_a").alias("node"), "_x").join(nodes, "node").groupBy("node").agg(F.min("_x").alias("_x"))
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(chosen, "_x"))
+    chosen = live.select("_x").distinct()
+    known = KeyFilter.of(chosen, "_x")
+    rows = _rows(docs, id_col, text_col).select("_text", "_x")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, empty, held = Shingler(like.words), np.zeros(0, np.uint64), bits.value
+        tool, empty = Shingler(like.words), np.zeros(0, np.uint64)
         ends = np.arange(1, WIDE, dtype=np.uint64) << np.uint64(64 - WIDE.bit_length() + 1)
         for batch in batches:
-            wanted = batch.column(0).filter(pa.array(in_bitmap(held, batch.column(1).to_numpy().view(np.uint64))))
+            wanted = batch.column(0)
+            if known:
+                wanted = wanted.filter(pa.array(known.may_hold(batch.column(1).to_numpy().view(np.uint64))))
             for first in range(0, len(wanted), 512):
                 node, number, size, lists = [], [], [], []
                 with np.errstate(over="ignore"):
                     for grams in tool.sets(wanted.slice(first, 512).to_pylist()):
-                        digest = xxhash.xxh3_128_intdigest(grams.tobytes()) >> 64
+                        digest = xxhash.xxh3_128_digest(grams.tobytes())
                         for f, piece in enumerate(np.split(grams, np.searchsorted(grams, ends))):
                             if len(piece):
                                 node.append(digest)
@@ -241,103 +249,157 @@ def fragments(docs: DataFrame, like: Similarity, id_col: str, text_col: str, nod
                                 size.append(len(grams))
                                 lists.append(piece)
                 cut = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, lists)]), pa.int32()), _signed(np.concatenate([empty, *lists])))
-                yield pa.RecordBatch.from_arrays([_signed(np.array(node, np.uint64)), pa.array(number, pa.int32()), pa.array(size, pa.int64()), cut], ["node", "fragment", "size", "grams"])
+                yield pa.RecordBatch.from_arrays([pa.array(node, pa.binary()), pa.array(number, pa.int32()), pa.array(size, pa.int64()), cut], ["node", "fragment", "size", "grams"])
 
-    cut = _rows(docs, id_col, text_col).select("_text", "_x").mapInArrow(run, "node long, fragment int, size long, grams array<long>")
+    rows = rows if known else rows.join(chosen, "_x", "left_semi").select("_text", "_x")
+    cut = rows.mapInArrow(run, "node binary, fragment int, size long, grams array<long>")
     return staged(cut.dropDuplicates(["node", "fragment"]), "fragments")
 
 
-def overlaps(pairs: pa.Table, sets: pa.Table) -> pa.Table:
-    """Overlap of each pair: counted per fragment, summed over fragments."""
-    held: dict[tuple[int, int], frozenset[int]] = {}
-    for node, fragment, grams in zip(sets["node"].to_pylist(), sets["fragment"].to_pylist(), sets["grams"].to_pylist()):
-        held[node, fragment] = frozenset(grams)
-    none: frozenset[int] = frozenset()
-    a, b = pairs["a"].to_pylist(), pairs["b"].to_pylist()
-    same = [sum(len(held.get((x, f), none) & held.get((y, f), none)) for f in range(WIDE)) for x, y in zip(a, b)]
-    return pairs.select(["a", "b", "n", "m"]).append_column("same", pa.array(same, pa.int64()))
-
+def prefixes(held: DataFrame, like: Similarity) -> DataFrame:
+    """(key, node, n, own, hi): the n-grams by which partners can first meet.
 
-def verified(pairs: DataFrame, held: DataFrame, like: Similarity, per_cell: int = 20_000) -> DataFrame:
-    """The pairs (a, b) that link, by partial overlaps summed over fragments.
+    n-grams are ordered from rare to frequent among the live classes. If the
+    first common one of two sets stands at place p of the set of n, at most
+    n - p + 1 are common, so the other set has at most ``hi`` n-grams. ``own``
+    counts n-grams of no other class, which come first and are not keys.
+    """
+    p = like.percent
+    grams = held.select("node", F.col("size").alias("n"), F.explode("grams").alias("key"))
+    often = grams.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
+    lists = grams.join(often, "key").groupBy("node").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "key"))).alias("keys"))
+    lists = lists.withColumn("own", F.col("n") - F.size("keys")).withColumn("most", F.expr(f"cast(n - (n * {p} + 99) div 100 + 1 - own as int)")).where("most > 0")
+    rows = lists.select("node", "n", "own", F.posexplode(F.slice("keys", F.lit(1), F.col("most"))).alias("at", "k"))
+    hi = F.expr(f"(n - own - at) * {100 + p} div {p} - n")
+    return staged(rows.select(F.col("k.key").alias("key"), "node", "n", "own", hi.alias("hi")), "prefixes")
+
+
+def partial_overlaps(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+    """Per pair, in one fragment: how many n-grams of b are in a as well, and a
+    64-bit mask of the others of b, by their low bits."""
+    held = {node: frozenset(grams) for node, grams in zip(sets["node"].to_pylist(), sets["grams"].to_pylist())}
+    none: frozenset[int] = frozenset()
+    same, mask = [], []
+    for x, y in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()):
+        theirs = held.get(y, none)
+        missed = theirs - held.get(x, none)
+        same.append(len(theirs) - len(missed))
+        bits = 0
+        for gram in missed:
+            bits |= 1 << (gram & 63)
+        mask.append(bits)
+    return pairs.select(["a", "b", "fragment"]).append_column("same", pa.array(same, pa.int64())).append_column("mask", _signed(np.array(mask, np.uint64)))
+
+
+def overlaps(pairs: DataFrame, held: DataFrame, per_cell: int = 8_000) -> DataFrame:
+    """(a, b, same, m0 to m7) of the pairs (a, b): partial overlaps and masks,
+    counted apart in each fragment, then summed per pair.
 
     Pairs are dealt to cells of a grid by the hashes of both sides, about
-    ``per_cell`` to one, and a class is sent once to each cell that compares
+    ``per_cell`` to one, and a segment is sent once to each cell that compares
     it: not once per pair.
     """
-    sizes = held.groupBy("node").agg(F.max("size").alias("size"))
-    left, right = (sizes.select(F.col("node").alias(c), F.col("size").alias(n)) for c, n in ("an", "bm"))
-    wide = max(2, math.ceil(math.sqrt(pairs.count() / per_cell)))
+    wide = max(1, math.ceil(math.sqrt(pairs.count() / per_cell)))
     cell = F.pmod(F.xxhash64("a"), F.lit(wide)) * wide + F.pmod(F.xxhash64("b", F.lit(1)), F.lit(wide))
-    fit = pairs.join(left, "a").join(right, "b").where(f"100 * least(n, m) >= {like.percent} * greatest(n, m)").select(cell.alias("cell"), "a", "b", "n", "m")
-    needed = fit.select(F.col("cell").alias("at"), F.col("a").alias("node")).union(fit.select("cell", "b")).distinct()
-    sent = needed.join(held, "node").select("at", "node", "fragment", "grams")
-
-    def compare(ours: pa.Table, theirs: pa.Table) -> pa.Table:
-        return overlaps(ours, theirs)
-
-    total = fit.groupBy("cell").cogroup(sent.groupBy("at")).applyInArrow(compare, "a long, b long, n long, m long, same long")
-    return total.where(f"100 * same >= {like.percent} * (n + m - same)").select("a", "b")
+    dealt = pairs.select(cell.alias("cell"), "a", "b")
+    needed = dealt.select(F.col("cell").alias("at"), F.col("a").alias("node")).union(dealt.select("cell", "b")).distinct()
+    sent = needed.join(held.select("node", F.col("fragment").alias("part"), "grams"), "node").select("at", "part", "node", "grams")
+    dealt = dealt.select("cell", F.explode(F.array(*(F.lit(f) for f in range(WIDE)))).alias("fragment"), "a", "b")
 
+    def count(ours: pa.Table, theirs: pa.Table) -> pa.Table:
+        return partial_overlaps(ours, theirs)
 
-def _ordered(x: str, y: str) -> list[F.Column]:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+    partial = dealt.groupBy("cell", "fragment").cogroup(sent.groupBy("at", "part")).applyInArrow(count, "a binary, b binary, fragment int, same long, mask long")
+    masks = [F.sum(F.when(F.col("fragment") == f, F.col("mask")).otherwise(0)).alias(f"m{f}") for f in range(WIDE)]
+    return partial.groupBy("a", "b").agg(F.sum("same").alias("same"), *masks)
 
 
-def joined(docs: DataFrame, like: Similarity, id_col: str, text_col: str, summary: DataFrame, linear: int = 4) -> DataFrame | None:
+def joined(docs: DataFrame, like: Similarity, id_col: str, text_col: str, live: DataFrame) -> DataFrame | None:
     """(node, label) of all classes that link with another; None if none do."""
-    live = live_keys(summary, like)
-    rows = live.count()
-    if not rows:
+    p, used = like.percent, []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        used.append(staged(df, name))
+        return used[-1]
+
+    held = fragments(docs, like, id_col, text_col, live)
+    rows = prefixes(held, like)
+    used += [held, rows]
+    # The pivot of a key has the least share of n-grams of its own.
+    order = F.struct((F.col("own") / F.col("n")).alias("share"), F.xxhash64("node").alias("hash"), "node", "n", "own", "hi")
+    keys = rows.groupBy("key").agg(F.count("*").alias("rows"), F.min(order).alias("p")).where("rows > 1")
+    keys = keys.select("key", "rows", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.hi").alias("ph"))
+    each = keep(rows.join(keys, "key").where("node <> pivot"), "key-rows")
+    pairs = keep(each.where("rows > 2 or (n <= ph and pn <= hi)").groupBy(F.col("node").alias("a"), F.col("pivot").alias("b")).agg(F.max("n").alias("n"), F.max("own").alias("own"), F.max("pn").alias("pn")), "pivot-pairs")
+    if not pairs.take(1):
+        for df in used:
+            drop(df)
         return None
-    held = fragments(docs, like, id_col, text_col, live.select("node").distinct(), summary)
-    links, tested, label, turn, gained = None, None, None, 0, True
-    while True:
-        named = live.withColumn("label", F.col("node")) if label is None else live.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        # The first pivots are the same for all keys, later ones differ by key.
-        order = F.xxhash64("node", *(["key", F.lit(turn)] if turn else []))
-        each = named.groupBy("key", "label").agg(F.count("*").alias("n"), F.min(F.struct(order.alias("o"), F.col("node").alias("pivot"))).alias("p"))
-        keys = each.groupBy("key").agg(F.count("*").alias("labels"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inner"), F.min(F.struct("p.o", "p.pivot", "label")).alias("p"))
-        keys = staged(keys.where("labels > 1").select("key", "n", "inner", "p.pivot", F.col("p.label").alias("pivot_label")), "open-keys")
-        left = keys.agg(F.count("*"), F.sum((F.col("n") * F.col("n") - F.col("inner")) / 2)).first()
-        if not left[0]:
-            break
-        last = turn > 0 and (left[1] <= linear * rows or not gained)
-        open_ = named.join(keys.select("key", "pivot", "pivot_label"), "key")
-        if last:
-            other = open_.select("key", F.col("node").alias("other"), F.col("label").alias("other_label"))
-            pairs = open_.join(other, "key").where("label <> other_label and node < other").select(*_ordered("node", "other"))
-        else:
-            pairs = open_.where("label <> pivot_label").select(*_ordered("node", "pivot"))
-        pairs = pairs.distinct()
-        pairs = staged(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, "pairs")
-        found = staged(verified(pairs, held, like), "links")
-        tested = pairs if tested is None else tested.union(pairs)
-        gained = bool(found.take(1))
-        links = found if links is None else links.union(found)
-        label = staged(components(links), "labels") if links.take(1) else None
-        if last:
-            break
-        turn += 1
+    seen = keep(pairs.join(overlaps(pairs, held), ["a", "b"]), "pivot-overlaps")
+    links = seen.where(f"same * {100 + p} >= (n + pn) * {p}").select("a", "b")
+    label = keep(components(links), "labels")
+    rest = keep(_rest(each, seen, label, p), "rest-pairs")
+    more = overlaps(rest.select("a", "b"), held).join(rest, ["a", "b"]).where(f"same * {100 + p} >= (n + m) * {p}").select("a", "b")
+    found = keep(more, "rest-links")
+    if found.take(1):
+        # Components are contracted: only their labels go on.
+        ends = [label.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")) for c in "ab"]
+        named = found.join(ends[0], "a", "left").join(ends[1], "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+        upper = keep(components(named).select(F.col("node").alias("label"), F.col("label").alias("top")), "upper-labels")
+        lower = label.join(upper, "label", "left").select("node", F.coalesce("top", "label").alias("label"))
+        alone = upper.select(F.col("label").alias("node"), F.col("top").alias("label")).join(label, "node", "left_anti")
+        label = staged(lower.union(alone), "labels")
+    else:
+        used.remove(label)
+    for df in used:
+        drop(df)
     return label
 
 
-def classes(docs: DataFrame, like: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_shingles and component_id (the least id of its component)."""
+def _rest(each: DataFrame, seen: DataFrame, label: DataFrame, p: int) -> DataFrame:
+    """Pairs (a, b, n, m) of a key that can still link: in different components,
+    of sizes that fit, and with room for enough common n-grams beside the
+    pivot's that either lacks: with x n-grams outside the pivot that others
+    hold, two sets share at most pivot - (missed by a or b) + least(x) ones."""
+    masks = [f"m{f}" for f in range(WIDE)]
+    seen = seen.select(F.col("a").alias("node"), F.col("b").alias("pivot"), (F.col("n") - F.col("same") - F.col("own")).alias("x"), *masks)
+    named = each.where("rows > 2").join(seen, ["node", "pivot"]).join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    open_ = named.groupBy("key").agg(F.min("label").alias("x0"), F.max("label").alias("x1")).where("x0 <> x1").select("key")
+    ours = named.join(open_, "key", "left_semi").select("key", "node", "label", "n", "hi", "pn", "x", *masks)
+    theirs = ours.select("key", *(F.col(c).alias(f"{c}_") for c in ("node", "label", "n", "hi", "x", *masks)))
+    missed = " + ".join(f"bit_count({m} | {m}_)" for m in masks)
+    fit = f"node < node_ and label <> label_ and n <= hi_ and n_ <= hi and (pn - ({missed}) + least(x, x_)) * {100 + p} >= (n + n_) * {p}"
+    pairs = ours.join(theirs, "key").where(fit)
+    return pairs.groupBy(F.col("node").alias("a"), F.col("node_").alias("b")).agg(F.max("n").alias("n"), F.max("n_").alias("m"))
+
+
+def _joined_rows(docs: DataFrame, like: Similarity, id_col: str, text_col: str) -> DataFrame:
+    """Per row: _id, _x (text hash), _n, and _least, the first row of its
+    component as (id is null, id, text hash); null for the empty set."""
     summary = staged(summaries(docs, like, id_col, text_col), "shingle-summaries")
-    label = joined(docs, like, id_col, text_col, summary)
-    rows = summary.select("_id", "_n", F.col("_a").alias("node"))
+    live = live_classes(summary, like)
+    rows = staged(summary.select("_id", "_x", "_n", F.col("_node").alias("node")), "classes")
+    drop(summary)
+    label = joined(docs, like, id_col, text_col, live)
+    drop(live)
     rows = rows.withColumn("_label", F.col("node")) if label is None else rows.join(label, "node", "left").withColumn("_label", F.coalesce("label", "node"))
-    least = rows.where("_n > 0").groupBy("_label").agg(F.min("_id").alias("_least"))
-    out = rows.join(least, "_label", "left")
-    return out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), F.when(F.col("_n") > 0, F.col("_least")).otherwise(F.col("_id")).alias("component_id"))
+    rows = rows.withColumn("_first", F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_x").alias("x")))
+    least = rows.where("_n > 0").groupBy(F.col("_label").alias("_of")).agg(F.min("_first").alias("_least"))
+    return rows.join(least, F.col("_label") == F.col("_of"), "left").select("_id", "_x", "_n", "_first", "_least")
+
+
+def classes(docs: DataFrame, like: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, n_shingles and component_id (the least id of its component)."""
+    out = _joined_rows(docs, like, id_col, text_col)
+    return out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), F.when(F.col("_n") > 0, F.col("_least.id")).otherwise(F.col("_id")).alias("component_id"))
 
 
 def apply(docs: DataFrame, like: Similarity = Similarity(5, 80), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents but those whose component has a smaller id."""
-    found = classes(docs, like, id_col, text_col)
-    gone = found.where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    """The documents but those that a document before them is linked with, in
+    the order of id (null last), then text hash; rows equal in both are one."""
+    found = _joined_rows(docs, like, id_col, text_col)
+    gone = found.where("_least < _first").select(F.col("_id").alias("_gone"), F.col("_x").alias("_gone_x")).distinct()
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]) & (F.xxhash64(docs[text_col]) == gone["_gone_x"]), "left_anti")
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,12 +65,14 @@ def brute_lines(rows, hashes, least):
         for p, line in enumerate((t or "").lower().split("\n")):
             w = re.split(r"[\x20\x09-\x0D]+", line)
             w = tuple(x for x in w if x)
-            if len(w) >= least:
+            if w:
                 seen.add(((d is None, d or 0, hashes[d, t], p), w))
     seen = sorted(seen)
 
     def near(a, b):
         a, b = sorted((a, b), key=len)
+        if len(a) < least:
+            return False
         if len(a) == len(b):
             return sum(x != y for x, y in zip(a, b)) == 1
         return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
@@ -83,24 +86,24 @@ def brute_lines(rows, hashes, least):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_line_dedup_against_brute_force(spark, seed):
+@pytest.mark.parametrize("seed,least", [(1, 5), (2, 5), (3, 1)])
+def test_line_dedup_against_brute_force(spark, seed, least):
     rng = random.Random(seed)
-    rows = [(i, "\n".join(" ".join(rng.choice("abcd") for _ in range(rng.randint(2, 8))) for _ in range(rng.randint(0, 5)))) for i in range(90)]
+    rows = [(i, "\n".join(" ".join(rng.choice("abcd") for _ in range(rng.randint(1, 8))) for _ in range(rng.randint(0, 5)))) for i in range(90)]
     rows += [(None, "a b c d a\nx"), (3, None), (3, ""), (5, "a b c d a b"), (5, "a b c d a b"), (500, "a " * 3000 + "\n" + "a " * 3001 + "\n\nA  a\ta a a")]
     df = docs_of(spark, rows)
-    got = Counter((r.doc_id, r.n_lines, tuple(r.equal_lines), tuple(r.near_lines)) for r in linededup.report(df, min_words=4).collect())
+    got = Counter((r.doc_id, r.n_lines, tuple(r.equal_lines), tuple(r.near_lines)) for r in linededup.report(df, near_words=least).collect())
     hashes = {(r.doc_id, r.text): r.t for r in df.select("doc_id", "text", F.xxhash64("text").alias("t")).collect()}
-    found = brute_lines(rows, hashes, 4)
+    found = brute_lines(rows, hashes, least)
     want = Counter()
     for d, t in rows:
         a, b = found.get((d is None, d or 0, hashes[d, t]), ([], []))
         want[d, 0 if t is None else t.count("\n") + 1, tuple(a), tuple(b)] += 1
     assert got == want
-    cleaned = linededup.apply(df, min_words=4)
+    cleaned = linededup.apply(df, near_words=least)
     assert cleaned.columns == df.columns
     # Nothing is left to remove of equal lines.
-    assert linededup.report(cleaned, min_words=4).where("size(equal_lines) > 0").count() == 0
+    assert linededup.report(cleaned, near_words=least).where("size(equal_lines) > 0").count() == 0
 
 
 def test_line_dedup_of_nothing(spark):
@@ -253,12 +256,54 @@ def test_jaccard_against_brute_force(spark, seed, like):
 
 
 def test_jaccard_keeps_one_of_each_group(spark):
-    df = docs_of(spark, [(3, "a b c d e f g"), (2, "a b c d e f g"), (9, "x y z"), (1, None), (4, None)])
+    df = docs_of(spark, [(3, "a b c d e f g"), (2, "a b c d e f g"), (9, "x y z"), (1, None), (4, None), (None, "X y z"), (None, "alone"), (9, "X Y Z")])
     kept = jaccard.apply(df)
-    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 4, 9]
+    assert kept.columns == df.columns and sorted((r.doc_id or 0, (r.text or "").lower()) for r in kept.collect()) == [(0, "alone"), (1, ""), (2, "a b c d e f g"), (4, ""), (9, "x y z")]
     assert jaccard.classes(df.limit(0)).count() == 0 and jaccard.apply(df.limit(0)).count() == 0
 
 
+def test_jaccard_beyond_the_key_filter(spark, monkeypatch):
+    """With more keys than a filter may hold, joins by the keys take its place."""
+    made = jaccard.KeyFilter.of
+    monkeypatch.setattr(jaccard.KeyFilter, "of", lambda keys, name: made(keys, name, most=-1))
+    test_jaccard_against_brute_force(spark, 3, jaccard.Similarity())
+
+
+def test_jaccard_of_a_very_long_text(spark):
+    long = " ".join(f"w{i % 7919}x{i % 104729}" for i in range(300_000))
+    rows = [(1, long), (2, long + " more"), (3, long[: len(long) // 2]), (4, "short one")]
+    assert {r.doc_id: r.component_id for r in jaccard.classes(docs_of(spark, rows)).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+
+def star(rng, size, changes, words=200):
+    """Texts that each replace as many distinct words of one unseen base."""
+    base = [f"b{i}" for i in range(words)]
+    for c in range(size):
+        t = list(base)
+        for at in rng.sample(range(0, words, 4), changes):
+            t[at] = f"n{c}x{at}"
+        yield " ".join(t)
+
+
+@pytest.mark.parametrize("changes", [1, 2, 3])
+def test_jaccard_in_large_clusters(spark, changes):
+    """2,000 copies that replace 1 to 3 words of an absent base each: by how many
+    of these places they share, two of them are alike to 0.78, 0.82, 0.8498
+    (three words changed), 0.8498 and 0.89 (two), 0.92 and 0.96 (one)."""
+    rows = [(i, t) for i, t in enumerate(star(random.Random(changes), 2000, changes))] + [(5000, "b0 " * 400)]
+    got = {r.doc_id: r.component_id for r in jaccard.classes(docs_of(spark, rows).repartition(4)).collect()}
+    held = [set(zip(*(t.split()[k:] for k in range(4)))) for _, t in rows[:-1]]
+    column = {x: n for n, x in enumerate(sorted(set().union(*held)))}
+    there = np.zeros((2000, len(column)), np.float32)
+    for i, grams in enumerate(held):
+        there[i, [column[x] for x in grams]] = 1
+    same = there @ there.T
+    links = 100 * same >= 85 * (2 * 197 - same)
+    least = np.arange(2000)
+    while (better := np.where(links, least[None, :], 2000).min(1)).tolist() != least.tolist():
+        least = better
+    assert got == {**{i: int(x) for i, x in enumerate(least)}, 5000: 5000}
+
+
 def test_size_groups_cover_every_partner():
     for like in (jaccard.Similarity(), jaccard.Similarity(5, 80)):
         for n in range(1, 700):
