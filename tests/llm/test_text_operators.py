@@ -57,10 +57,9 @@ def test_packing_round_trip(spark):
 
     file = public_tokenizers.path("word_bpe_49k.json")
     rng = random.Random(3)
-    texts = EDGES + [" ".join(rng.choice(["the", "of", "Zürich's", "42!", "w\u00a0x", "©"]) for _ in range(rng.randint(1, 3000))) for _ in range(60)]
+    texts = EDGES + ["a <|endoftext|> b"] + [" ".join(rng.choice(["the", "of", "Zürich's", "42!", "w\u00a0x", "©"]) for _ in range(rng.randint(1, 3000))) for _ in range(60)]
     rows = packing.packed(packing.pieces(docs_of(spark, texts), file, 1, with_ids=True)).collect()
     tool = Tokenizer.from_file(file)
-    tool.encode_special_tokens = True
     by_doc, by_bin = defaultdict(list), defaultdict(list)
     for r in rows:
         by_doc[r.doc_id].append(r)
@@ -92,6 +91,51 @@ def test_packing_ids_are_those_of_plain_encode(spark):
         assert r.ids == tool.encode(texts[r.doc_id], add_special_tokens=False).ids + [1], texts[r.doc_id]
 
 
+def test_word_ids_of_any_characters():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    file, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(6)
+    bits = list("abcdeABCÉéßÄµªº²½¾'’.,;&$#  \n\t\r\x0b\x0c\x00\x1c\x85\xa0\xad×÷ÿİıſǅαΣς١中😀\u0301\u0308") + ["<|endoftext|>", "'s", "'re", " don't", "'LL", "long" * 30]
+    texts = [None] + ["".join(rng.choice(bits) for _ in range(rng.randint(0, 60))) for _ in range(4000)]
+    tool, words = Tokenizer.from_file(file), packing.WordTokenizer(file)
+    assert words.by_words
+    words.older = {"don't": words._encode(["don't"])[0]}
+    for _ in range(2):
+        flat, ends = words.ids(pa.array(texts))
+        for text, ids in zip(texts, np.split(flat, ends[:-1])):
+            assert ids.tolist() == tool.encode(text or "", add_special_tokens=False).ids, text
+
+
+def test_tokenizers_of_other_rules_get_whole_texts(tmp_path):
+    import json
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    rules = json.load(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8"))
+    rules["pre_tokenizer"] = None
+    file = str(tmp_path / "other.json")
+    json.dump(rules, open(file, "w", encoding="utf-8"))
+    words, tool = packing.WordTokenizer(file), Tokenizer.from_file(file)
+    assert not words.by_words
+    flat, ends = words.ids(pa.array(["ab cd ", None, "x"]))
+    assert [x.tolist() for x in np.split(flat, ends[:-1])] == [tool.encode(t, add_special_tokens=False).ids for t in ("ab cd ", "", "x")]
+
+
+def test_pieces_of_null_ids_and_clashing_names(spark):
+    docs = spark.createDataFrame([(None, "a b", 7, 8, "x"), (None, None, 7, 8, "y")], "doc_id long, text string, piece int, length long, _text string")
+    got = packing.packed(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), 1))
+    assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert sorted((r.doc_id, r.piece, r.length) for r in got.collect()) == [(None, 0, 1), (None, 0, 3)]
+
+
+def test_a_piece_alone_gives_way_to_two():
+    # 7 leaves a gap of 3 that nothing fits alone; 5 + 5 fill the sequence.
+    found = [sorted(x) for x in packing.BestTwoFit(np.array([7, 5, 5]), 10).sequences()]
+    assert sorted(found) == [[0], [1, 2]] and len(found) == 2
+
+
 def test_best_two_fit_replaces_the_smallest():
     # Greedy takes 6 and 3 of 10; 2 + 2 in place of 3 leave no gap.
     found = [sorted(x) for x in packing.BestTwoFit(np.array([6, 3, 2, 2]), 10).sequences()]
