@@ -2,10 +2,11 @@
 
 Base rules look at one text alone. The corpus rule hashes normalised lines,
 counts on how many distinct documents of the same host each line stands, and
-treats a line as boilerplate of the host where that count is above the limits.
+treats a line as boilerplate of the host where that count is above the limit.
 Boilerplate lines are removed, except in the earliest document of the host that
 holds them, so that a group of copies always leaves one whole document. A
-document that loses more than the allowed share of its words is rejected.
+document is depleted, and rejected, if it keeps less than the allowed share of
+its words or fewer words than any document needs.
 
 Defined cases
 -------------
@@ -27,18 +28,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coldtide.llm.common import BLANKS, bind, spaced, words
+from coldtide.session import staged
 
 
 @dataclass(frozen=True)
 class Limits:
-    """``line_docs`` and ``line_share``: a line is boilerplate on more distinct
-    documents of its host than both of these, the second as a share of the
-    host's documents. ``min_left``: share of words a document must keep."""
+    """``line_docs``: a line is boilerplate on more distinct documents of its
+    host, whatever the host's size. ``min_left``: share of words that a document
+    must keep, beside ``min_words`` of them."""
 
     min_words: int = 50
     repeat_percent: int = 50
-    line_docs: int = 20
-    line_share: float = 0.002
+    line_docs: int = 4
     min_left: float = 0.5
 
 
@@ -100,23 +101,22 @@ def _lines(rows: DataFrame) -> DataFrame:
     return one.select("_id", "_t", "_host", "_pos", (F.length("_line") - F.length(F.replace("_line", F.lit(" "), F.lit(""))) + 1).alias("_w"), F.xxhash64("_host", "_line").alias("_key"))
 
 
-def boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", limits: Limits = Limits()) -> DataFrame:
-    """Line keys above the limits, with the earliest document of each.
+def boilerplate(lines: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """Line keys above the limit, with the earliest document of each.
 
     Two aggregations, both combined map-side: (line, text) pairs first, so that
     a hot line's documents spread over all tasks, then lines.
     """
-    rows = _rows(docs, id_col, text_col, host_col)
-    pairs = _lines(rows).groupBy("_key", "_t").agg(F.min("_id").alias("_id"), F.max("_host").alias("_host"))
-    lines = pairs.groupBy("_key").agg(F.count("*").alias("_n"), F.min(F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("id"), F.col("_t").alias("t"))).alias("_first"), F.max("_host").alias("_host"))
-    hosts = rows.groupBy("_host").agg(F.count("*").alias("_docs"))
-    return lines.where(F.col("_n") > limits.line_docs).join(hosts, "_host").where(F.col("_n") > limits.line_share * F.col("_docs")).select("_key", "_first")
+    pairs = lines.groupBy("_key", "_t").agg(F.min(F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("id"), F.col("_t").alias("t"))).alias("_first"))
+    return pairs.groupBy("_key").agg(F.count("*").alias("_n"), F.min("_first").alias("_first")).where(F.col("_n") > limits.line_docs).select("_key", "_first")
+
 
+def removals(rows: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """Per document key: the words lost and the positions of removed lines.
 
-def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", limits: Limits = Limits()) -> DataFrame:
-    """Per document key: the words lost and the positions of removed lines."""
-    bad = boilerplate(docs, id_col, text_col, host_col, limits)
-    hit = _lines(_rows(docs, id_col, text_col, host_col)).join(bad, "_key")
+    Lines are cut and hashed once; the narrow table of them is staged."""
+    lines = staged(_lines(rows), "line-keys")
+    hit = lines.join(boilerplate(lines, limits), "_key")
     hit = hit.where(~(F.col("_first.id").eqNullSafe(F.col("_id")) & (F.col("_first.t") == F.col("_t"))))
     once = hit.groupBy("_id", "_t", "_host", "_pos").agg(F.max("_w").alias("_w"))
     return once.groupBy("_id", "_t", "_host").agg(F.sum("_w").alias("_lost"), F.collect_list("_pos").alias("_gone"))
@@ -137,13 +137,14 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     """
     rows = _rows(docs, id_col, text_col, host_col)
     base = rows.select("_id", "_t", "_host", *base_columns(F.col("_text"))).withColumns({"n_words": F.col("_counted.n"), "n_repeat_words": F.col("_counted.r")})
-    out = _joined(base, removals(docs, id_col, text_col, host_col, limits).drop("_gone"))
+    out = _joined(base, removals(rows, limits).drop("_gone"))
     failed = (F.col("n_words") < limits.min_words) | (100 * F.col("n_repeat_words") > limits.repeat_percent * F.col("n_words"))
     lost = F.coalesce(F.col("_lost_r"), F.lit(0))
+    left = F.col("n_words") - lost
     return out.select(
         F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), lost.cast("long").alias("lost_words"),
-        (~failed & (F.col("n_words") - lost >= limits.min_left * F.col("n_words"))).alias("kept"),
+        (~failed & (left >= limits.min_words) & (left >= limits.min_left * F.col("n_words"))).alias("kept"),
     )
 
 
@@ -157,8 +158,9 @@ def apply(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     rows = docs.select(F.struct(*keep).alias("_row"), docs[id_col].alias("_id"), docs[text_col].alias("_text"), F.xxhash64(docs[text_col]).alias("_t"), F.xxhash64(docs[host_col].isNull(), docs[host_col]).alias("_host"))
     rows = rows.withColumn("_c", base_columns(F.col("_text"))[0]).withColumn("_n", F.col("_c.n"))
     rows = rows.where((F.col("_n") >= limits.min_words) & (100 * F.col("_c.r") <= limits.repeat_percent * F.col("_n")))
-    out = _joined(rows, removals(docs, id_col, text_col, host_col, limits))
-    out = out.where(F.col("_n") - F.coalesce(F.col("_lost_r"), F.lit(0)) >= limits.min_left * F.col("_n"))
+    out = _joined(rows, removals(_rows(docs, id_col, text_col, host_col), limits))
+    words_left = F.col("_n") - F.coalesce(F.col("_lost_r"), F.lit(0))
+    out = out.where((words_left >= limits.min_words) & (words_left >= limits.min_left * F.col("_n")))
     left = F.array_join(F.filter(F.split("_text", "\n"), lambda x, i: ~F.array_contains(F.col("_gone_r"), i)), "\n")
     text = F.when(F.col("_gone_r").isNull(), F.col("_text")).otherwise(left)
     return out.select(*(text.alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns))
@@ -178,13 +180,12 @@ worded AS (SELECT *, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', '
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM worded GROUP BY doc_id),
 pairs AS (SELECT source, norm, t, min(doc_id) AS id FROM worded GROUP BY ALL),
 lines AS (SELECT source, norm, count(*) AS n, min(id) AS first FROM pairs GROUP BY ALL),
-hosts AS (SELECT source, count(*) AS docs FROM documents GROUP BY source),
-bad AS (SELECT source, norm, first FROM lines JOIN hosts USING (source) WHERE n > 20 AND n > 0.002 * docs),
+bad AS (SELECT source, norm, first FROM lines WHERE n > 4),
 lost AS (SELECT doc_id, sum(len(string_split(norm, ' '))) AS n FROM worded JOIN bad USING (source, norm) WHERE doc_id <> first GROUP BY doc_id),
 base AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
  CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines,
  CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(lost.n, 0) AS BIGINT) AS lost_words
  FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN lost USING (doc_id))
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
- NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - lost_words >= 0.5 * n_words AS kept FROM base
+ NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - lost_words >= 50 AND n_words - lost_words >= 0.5 * n_words AS kept FROM base
 """

@@ -194,15 +194,19 @@ def test_boilerplate(spark):
     body = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))
     notice = " ".join(f"notice{i}" for i in range(80))
     rows = [(i, f"{body()}\n  {notice.upper()} ", "host") for i in range(30)]
-    rows += [(100 + i, f"{body()}\n{notice}", None) for i in range(5)]
+    rows += [(100 + i, f"{body()}\n{notice}", None) for i in range(4)]
+    short = " ".join(f"s{i}" for i in range(12))
+    rows += [(300 + i, f"{' '.join(body().split()[: 47 + i])}\n{short}", "small") for i in range(5)]
     copied = body()
     rows += [(200 + i, copied, "host") for i in range(60)] + [(None, copied, "host"), (200, copied, "host")]
     df = docs_of(spark, rows)
     got = Counter((r.doc_id, r.kept, r.lost_words) for r in quality.verdicts(df).collect())
-    assert got[0, True, 0] == 1 and all(got[i, False, 80] == 1 for i in range(1, 30)) and all(got[100 + i, True, 0] == 1 for i in range(5))
+    assert got[0, True, 0] == 1 and all(got[i, False, 80] == 1 for i in range(1, 30)) and all(got[100 + i, True, 0] == 1 for i in range(4))
+    # Without the short line, fewer than 50 words are left of three of them.
+    assert got[300, True, 0] == 1 and [got[300 + i, kept, 12] for i, kept in ((1, False), (2, False), (3, True), (4, True))] == [1] * 4
     assert got[200, True, 0] == 2 and got[None, True, 0] == 1 and sum(got.values()) == len(rows)
     loose = quality.apply(df, limits=quality.Limits(min_left=0.1))
-    assert loose.columns == df.columns and loose.count() == len(rows)
+    assert loose.columns == df.columns and loose.count() == len(rows) - 2
     assert loose.where("doc_id = 5").first().text == rows[5][1].split("\n")[0] and loose.where("doc_id = 0").first().text == rows[0][1]
     assert quality.apply(df).where("doc_id between 1 and 29").count() == 0
     empty = df.limit(0)
