@@ -8,14 +8,15 @@ on down to single letters. A text's score in a language is the mean over its
 words; the least wins. Ties go to the language with more training rows, then
 to the first in alphabetical order.
 
+Words are runs of letters and their marks with a letter among them, in lower
+case and composed; training and prediction cut them with the same function.
 Training reads a sample of labelled rows, chosen by a hash of their ids, of
 ``max_rows`` rows in expectation, but of every label all rows up to
 ``label_rows`` and about that many of more, so that no label is lost in a large
-table (at most ``max_rows`` and labels times ``label_rows`` in all). It keeps
-at most ``max_words`` words and ``max_grams`` n-grams of each order per
-language: the model's size is bounded by these parameters, so it is collected
-and broadcast. Prediction covers whole
-texts of all rows.
+table (at most ``max_rows`` and labels times ``label_rows`` in all). Every word
+and n-gram of the sample is in the model, with scores only for the languages
+that have it: its size follows the sample, which these parameters bound, so it
+is collected and broadcast. Prediction covers whole texts of all rows.
 
 Defined cases: null text, or one without a letter, gives ``und`` with score 0;
 rows with a null id or label are not learned from; a model without training
@@ -25,33 +26,52 @@ not read.
 
 from __future__ import annotations
 
-import re
+import unicodedata
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import regex
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coldtide.session import ship_code
 
 ORDERS = (4, 3, 2, 1)
-LETTERS = re.compile(r"[^\W\d_]+")
-#: The same runs of letters for Spark's regular expressions.
-NOT_LETTERS = r"[^\p{L}\p{M}]+"
+WORD = regex.compile(r"\p{M}*\p{L}[\p{L}\p{M}]*")
+ASCII_WORD = regex.compile(r"[a-z]+")
+
+
+@dataclass
+class Table:
+    """Units and, in the order of units, where their entries end; an entry is a
+    language's number and what the unit is better than an unknown one there."""
+
+    units: list[str]
+    ends: np.ndarray
+    languages: np.ndarray
+    gains: np.ndarray
 
 
 @dataclass
 class Model:
     languages: list[str]
-    #: Unit (word, or n-gram of an order) to its scores in each language.
-    words: dict[str, tuple[float, ...]]
-    grams: dict[int, dict[str, tuple[float, ...]]]
+    penalty: float
+    words: Table
+    grams: dict[int, Table]
     key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
+def words_of(text: str) -> list[str]:
+    text = text.lower()
+    if text.isascii():
+        return ASCII_WORD.findall(text)
+    return WORD.findall(text if unicodedata.is_normalized("NFC", text) else unicodedata.normalize("NFC", text))
+
+
 def held_out(id_col: Column) -> Column:
     """Rows kept for measuring: crc32 of the id as text is 2 modulo 4."""
     return F.coalesce(F.crc32(id_col.cast("string")) % 4 == 2, F.lit(False))
@@ -71,10 +91,26 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_rows:
     return rows.where("_text is not null").select("_lang", "_text")
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 8000, max_words: int = 20_000, max_grams: int = 8_000, penalty: float = 7.0, label_rows: int = 200) -> Model:
+def _counted(rows: DataFrame) -> DataFrame:
+    """(_lang, _unit, count): words of the sample."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: dict[object, Counter[str]] = {}
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                counts.setdefault(lang, Counter()).update(words_of(text))
+            flat = [(lang, unit, n) for lang, own in counts.items() for unit, n in own.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in flat], kind) for i, kind in enumerate((batch.schema.field(0).type, pa.string(), pa.int64()))], ["_lang", "_unit", "count"])
+
+    kind = rows.schema["_lang"].dataType.simpleString()
+    return rows.select("_lang", "_text").mapInArrow(run, f"_lang {kind}, _unit string, count long").groupBy("_lang", "_unit").agg(F.sum("count").alias("count"))
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 8000, penalty: float = 7.0, label_rows: int = 200) -> Model:
     """Fit a model on labelled rows; counting is done by Spark."""
+    ship_code(docs.sparkSession)
     rows = sample(docs, id_col, text_col, lang_col, max_rows, label_rows)
-    counted = rows.select("_lang", F.explode(F.split(F.lower("_text"), NOT_LETTERS)).alias("_unit")).where("_unit <> ''").groupBy("_lang", "_unit").count()
+    counted = _counted(rows)
     padded = F.concat(F.lit(" "), F.col("_unit"), F.lit(" "))
 
     def cut(n: int) -> Column:
@@ -85,81 +121,109 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     units = counted.select("_lang", F.lit(0).alias("_order"), "_unit", "count").unionByName(
         counted.select("_lang", "count", F.explode(grams).alias("_x")).where("trim(_x.g) <> ''").groupBy("_lang", F.col("_x.o").alias("_order"), F.col("_x.g").alias("_unit")).agg(F.sum("count").alias("count"))
     )
-    within = Window.partitionBy("_lang", "_order")
-    top = within.orderBy(F.desc("count"), "_unit")
-    best = units.withColumn("_n", F.sum("count").over(within)).withColumn("_at", F.row_number().over(top))
-    best = best.where(F.col("_at") <= F.when(F.col("_order") == 0, max_words).otherwise(max_grams))
-    # Rows and text per language order the languages for ties.
+    found = units.toPandas()
+    # The number of rows orders the languages for ties.
     sizes = {r["_lang"]: r["n"] for r in rows.groupBy("_lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes, key=lambda x: (-sizes[x], x))
-    at = {x: i for i, x in enumerate(languages)}
-    tables: dict[int, dict[str, list[float]]] = {0: {}, **{n: {} for n in ORDERS}}
-    for lang, order, unit, count, _, total in best.select("_lang", "_order", "_unit", "count", "_at", "_n").toPandas().itertuples(index=False):
-        scores = tables[order].setdefault(unit, [penalty] * len(languages))
-        scores[at[lang]] = min(penalty, float(-np.log10(count / total)))
-    fixed = {order: {unit: tuple(scores) for unit, scores in table.items()} for order, table in tables.items()}
-    return Model(languages, fixed[0], {n: fixed[n] for n in ORDERS})
+    found["_at"] = found["_lang"].map({x: i for i, x in enumerate(languages)}).astype("int32")
+    total = found.groupby(["_at", "_order"])["count"].transform("sum")
+    found["_gain"] = np.maximum(0.0, penalty + np.log10(found["count"].to_numpy(float) / total.to_numpy(float)))
+    found = found.sort_values(["_order", "_unit", "_at"], kind="stable")
+
+    def table(order: int) -> Table:
+        part = found[found["_order"] == order]
+        units, number = np.unique(part["_unit"].to_numpy(object), return_inverse=True) if len(part) else (np.array([], object), np.zeros(0, np.int64))
+        ends = np.cumsum(np.bincount(number, minlength=len(units)))
+        by = np.argsort(number, kind="stable")
+        return Table(units.tolist(), ends, part["_at"].to_numpy(np.int32)[by], part["_gain"].to_numpy(np.float32)[by])
+
+    return Model(languages, penalty, table(0), {n: table(n) for n in ORDERS})
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of runs of the given starts and sizes, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
 
 
 class Scorer:
-    """A worker's tables: rows of a score matrix by word."""
-
-    def __init__(self, model: Model):
-        self.languages = model.languages
-        self.grams = {}
-        rows = list(model.words.values())
-        self.known = {word: i for i, word in enumerate(model.words)}
-        self.fixed = len(rows)
-        parts = []
-        for order in ORDERS:
-            self.grams[order] = {gram: len(parts) + i for i, gram in enumerate(model.grams[order])}
-            parts += model.grams[order].values()
-        wide = max(1, len(self.languages))
-        self.gram_scores = np.array(parts, np.float32).reshape(-1, wide)
-        self.most = max(50_000, min(400_000, 40_000_000 // wide))
-        self.scores = np.zeros((self.fixed + self.most // 2, wide), np.float32)
-        self.scores[: self.fixed] = np.array(rows, np.float32).reshape(-1, wide)
-        self.words = dict(self.known)
+    """A worker's tables: the entries of each word, known or derived."""
+
+    def __init__(self, model: Model, remembered: int = 400_000):
+        self.model, self.remembered = model, remembered
+        self.grams = {order: dict(zip(table.units, range(len(table.units)))) for order, table in model.grams.items()}
+        self.forget()
+
+    def forget(self) -> None:
+        table = self.model.words
+        self.words = dict(zip(table.units, range(len(table.units))))
+        self.most = len(self.words) + self.remembered
+        self.starts = np.concatenate([[0], table.ends[:-1]]).astype(np.int64) if len(table.units) else np.zeros(0, np.int64)
+        self.sizes = table.ends - self.starts
+        self.languages, self.gains = table.languages, table.gains
 
     def learn(self, words: list[str]) -> None:
-        """Score unseen words by their longest n-grams that are known."""
-        found, first, empty = [], [], []
+        """Give unseen words the mean entries of their longest known n-grams."""
+        owner, sizes, starts, parts = [], [], [], []
+        number = len(self.model.languages)
+        by_order: dict[int, tuple[list[int], list[int]]] = {order: ([], []) for order in ORDERS}
         for k, word in enumerate(words):
             padded = f" {word} "
-            first.append(len(found))
             for order in ORDERS:
                 get = self.grams[order].get
                 here = [x for i in range(len(padded) - order + 1) if (x := get(padded[i : i + order])) is not None]
                 if here:
-                    found += here
+                    by_order[order][0].extend([k] * len(here))
+                    by_order[order][1].extend(here)
                     break
-            else:
-                empty.append(k)
-                found.append(0)
-        base = len(self.words)
-        if base + len(words) > len(self.scores):
-            self.scores = np.concatenate([self.scores, np.zeros((max(len(words), len(self.scores) // 2), self.scores.shape[1]), np.float32)])
-        if words and len(self.gram_scores):
-            counts = np.diff(np.append(first, len(found)))
-            sums = np.add.reduceat(self.gram_scores[found], first, axis=0) / counts[:, None]
-            sums[empty] = 0
-            self.scores[base : base + len(words)] = sums
+        sums, many = [], np.zeros(len(words))
+        for order, (who, what) in by_order.items():
+            if not what:
+                continue
+            table, who, what = self.model.grams[order], np.array(who), np.array(what)
+            first = np.where(what > 0, table.ends[what - 1], 0)
+            size = table.ends[what] - first
+            place = spread(first, size)
+            sums.append((np.repeat(who, size) * number + table.languages[place], table.gains[place]))
+            np.add.at(many, who, 1)
+        if sums:
+            cells, at = np.unique(np.concatenate([c for c, _ in sums]), return_inverse=True)
+            gain = np.bincount(at, np.concatenate([g for _, g in sums]))
+            owner = cells // number
+            parts = (cells % number).astype(np.int32), (gain / many[owner]).astype(np.float32)
+            sizes = np.bincount(owner, minlength=len(words))
+        else:
+            parts, sizes = (np.zeros(0, np.int32), np.zeros(0, np.float32)), np.zeros(len(words), np.int64)
+        starts = len(self.languages) + np.cumsum(sizes) - sizes
+        base = len(self.starts)
         self.words.update(zip(words, range(base, base + len(words))))
+        self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
+        self.languages, self.gains = np.concatenate([self.languages, parts[0]]), np.concatenate([self.gains, parts[1]])
 
     def predict(self, texts: list[str]) -> Iterator[tuple[str, float]]:
-        cut = [LETTERS.findall(text.lower()) for text in texts]
-        if len(self.words) > self.fixed + self.most:
-            self.words = dict(self.known)
-        self.learn(list(set().union(*cut).difference(self.words)))
-        known = self.words
-        for parts in cut:
-            if not parts or not self.languages:
+        names = self.model.languages
+        cut = [words_of(text) for text in texts]
+        if len(self.words) > self.most:
+            self.forget()
+        new = list(set().union(*cut).difference(self.words))
+        if new and names:
+            self.learn(new)
+        get, wide = self.words.__getitem__, max(1, len(names))
+        many = np.array([len(parts) for parts in cut])
+        if names:
+            number = np.fromiter((get(w) for parts in cut for w in parts), np.int64, int(many.sum()))
+            size = self.sizes[number]
+            place = spread(self.starts[number], size)
+            row = np.repeat(np.repeat(np.arange(len(cut)), many), size)
+            gained = np.bincount(row * wide + self.languages[place], self.gains[place], len(cut) * wide).reshape(-1, wide)
+        for k, n in enumerate(many.tolist()):
+            if not n or not names:
                 yield "und", 0.0
                 continue
-            mean = self.scores[[known[w] for w in parts]].mean(axis=0, dtype=np.float64)
-            best = int(mean.argmin())
-            odds = np.exp(-np.log(10) * (mean - mean[best]) * min(len(parts), 20))
-            yield self.languages[best], float(1 / odds.sum())
+            mean = gained[k] / n
+            best = int(mean.argmax())
+            odds = np.exp(np.log(10) * (mean - mean[best]) * min(n, 20))
+            yield names[best], float(1 / odds.sum())
 
 
 _scorers: dict[str, Scorer] = {}

@@ -189,6 +189,71 @@ def test_language_accuracy_and_edges(spark):
     assert langid.predicted(edges, nobody).where("lang_pred <> 'und'").count() == 0
 
 
+def brute_language(train, text, penalty=7.0):
+    """Mean scores by plain dictionaries: word first, then n-grams of 4 to 1."""
+    import math
+    import unicodedata
+
+    def words(t):
+        runs, run = [], ""
+        for c in unicodedata.normalize("NFC", (t or "").lower()) + " ":
+            if unicodedata.category(c)[0] in "LM":
+                run += c
+            elif run:
+                runs, run = runs + [run], ""
+        return [r for r in runs if any(unicodedata.category(c)[0] == "L" for c in r)]
+
+    counts = defaultdict(Counter)
+    for lang, t in train:
+        for w in words(t):
+            counts[lang, 0][w] += 1
+            p = f" {w} "
+            for n in (4, 3, 2, 1):
+                for i in range(max(len(p) - n + 1, 1)):
+                    if p[i : i + n].strip(" "):
+                        counts[lang, n][p[i : i + n]] += 1
+    rows = Counter(lang for lang, t in train if t is not None)
+    names = sorted(rows, key=lambda x: (-rows[x], x))
+    one = lambda lang, n, u: min(penalty, -math.log10(counts[lang, n][u] / sum(counts[lang, n].values()))) if counts[lang, n][u] else penalty
+    total, found = dict.fromkeys(names, 0.0), words(text)
+    for w in found:
+        for n in (0, 4, 3, 2, 1):
+            p = f" {w} "
+            units = [w] if n == 0 else [p[i : i + n] for i in range(len(p) - n + 1)]
+            units = [u for u in units if any(counts[x, n][u] for x in names)]
+            if units:
+                break
+        for x in names:
+            total[x] += sum(one(x, n, u) for u in units) / len(units) if units else penalty
+    if not found:
+        return "und", 0.0
+    best = min(names, key=lambda x: (round(total[x], 9), names.index(x)))
+    return best, 1 / sum(10 ** (-(total[x] - total[best]) / len(found) * min(len(found), 20)) for x in names)
+
+
+def test_language_against_brute_force(spark):
+    rng = random.Random(9)
+    sets = {"en": "the of and thing river stone", "de": "der und straße über fluß stein", "hi": "\u0939\u093f\u0928\u094d\u0926\u0940 \u0928\u0926\u0940 \u092a\u0924\u094d\u0925\u0930", "fr": "le et pierre é\u0074é caf\u00e9 rivière"}
+    train = [(lang, " ".join(rng.choice(w.split()) for _ in range(rng.randint(1, 9)))) for lang, w in sets.items() for _ in range(15)] + [("en", None), ("xx", "zorv")]
+    model = langid.train(spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(train)], "doc_id long, text string, lang string"))
+    texts = ["the stone", "cafe\u0301 et t", "caf\u00e9 et t", "\u0928\u0926\u0940", "\u0928\u0926\u093f\u092f\u093e\u0901", "steine", "qqq", "\u6f22\u5b57", "zorva zor", "\u00b2", "\u00bd 12", "\u0301", None, "", "THE Of\u00b2and", "river " * 5000]
+    texts += [" ".join(rng.choice(" ".join(sets.values()).split())[: rng.randint(1, 7)] for _ in range(rng.randint(1, 6))) for _ in range(80)]
+    for r in langid.predicted(docs_of(spark, texts), model).collect():
+        lang, score = brute_language(train, texts[r.doc_id])
+        assert r.lang_pred == lang and r.score == pytest.approx(score, rel=2e-3), texts[r.doc_id]
+    got = {r.doc_id: r for r in langid.predicted(docs_of(spark, texts), model).collect()}
+    assert [got[i].lang_pred for i in (3, 4, 9, 10, 11)] == ["hi", "hi", "und", "und", "und"] and got[1].score == got[2].score
+
+
+def test_words_are_remembered_within_bounds():
+    table = langid.Table(["a"], np.array([1]), np.array([0], np.int32), np.array([3.0], np.float32))
+    none = langid.Table([], np.array([], np.int64), np.array([], np.int32), np.array([], np.float32))
+    scorer = langid.Scorer(langid.Model(["x", "y"], 7.0, table, {n: none for n in langid.ORDERS}), remembered=3)
+    for _ in range(3):
+        assert [x for x, _ in scorer.predict(["a b c d e f g", "q"])] == ["x", "x"]
+        assert len(scorer.words) <= 20
+
+
 def test_rare_labels_are_learned_in_large_tables(spark):
     rare = {3: "xx", 1003: "yy", 1777: "yy"}
     rows = [(i, f"quix zorv {i}" if i in rare else "the and of", rare.get(i, "en" if i % 2 else "de"), None, 5) for i in range(2000)]
