@@ -341,10 +341,61 @@ def test_templates_are_removed_per_host(spark):
     got = {r.page_id: r for r in html.main_text(pages).collect()}
     assert got[5].text == "text 5" and got[101].text == "text 1\n\nRead also our weekly letter" and got[205].text == "same page"
     assert got[300].text == "" and got[300].n_chars == 0 and html.main_text(pages).count() == len(rows)
-    assert html.main_text(pages, broadcast_hosts=-1).where("page_id = 5").first().text == "text 5"
+    assert html.main_text(pages, broadcast_bytes=-1).where("page_id = 5").first().text == "text 5"
     assert html.main_text(pages.limit(0)).count() == 0
 
 
+def brute_main_text(pages, min_pages=20, min_share=0.5, rare_share=0.01):
+    """Texts of pages given as (host, blocks), by plain counting."""
+    total, often = defaultdict(set), defaultdict(set)
+    for host, parts in pages:
+        total[host].add(tuple(parts))
+        for x in parts:
+            often[host, x].add(tuple(parts))
+    out = []
+    for host, parts in pages:
+        n = len(total[host])
+        count = {x: len(often[host, x]) for x in parts}
+        common = {x for x in parts if count[x] >= max(3, min(min_pages, n)) and count[x] >= min_share * n}
+        rare = {x for x in parts if count[x] >= max(min_pages, rare_share * n)} - common
+        kept = [x for x in parts if x not in common] or parts
+        left = [x for x in kept if x not in rare and x not in common]
+        small = 2 * len(left) < len(kept) and 2 * sum(map(len, left)) < sum(map(len, kept))
+        out.append("\n\n".join(left if left and not small else kept))
+    return out
+
+
+def test_templates_against_brute_force(spark):
+    rng = random.Random(8)
+    pages = []
+    for host, many in (("tiny.org", 2), ("three.org", 3), ("small.org", 9), ("middle.org", 60), ("large.org", 400)):
+        pool = [f"{host} box {k} " + "x" * rng.randint(1, 30) for k in range(8)]
+        for i in range(many):
+            shown = [x for k, x in enumerate(pool) if rng.random() < (1, 0.9, 0.6, 0.35, 0.28, 0.1, 0.05, 0.01)[k]]
+            own = [f"own {i} {j} " + "y" * rng.randint(1, 40) for j in range(rng.choice((0, 1, 1, 2, 5)))]
+            parts = [*shown[: len(shown) // 2], *own, *shown[len(shown) // 2 :]]
+            pages += [(host, parts)] * rng.choice((1, 1, 1, 3))
+    rows = [(i, f"https://{host}/{i}", "<html><head><title>t</title><body><nav>menu</nav>" + "".join(f"<div><p>{x}</p></div>" for x in parts)) for i, (host, parts) in enumerate(pages)]
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()}
+    want = brute_main_text(pages)
+    assert [got[i] for i in range(len(pages))] == want
+    assert sum(a != "\n\n".join(parts) for a, (_, parts) in zip(want, pages)) > 100
+
+
+@pytest.mark.parametrize("page", ["<b>" * 50_000 + "deep", "<div>" * 50_000 + "deep" + "</p></span>" * 50_000, "<p>" * 50_000 + "deep", "<b>" * 25_000 + "<p></i>" * 25_000 + "deep"])
+def test_deep_pages_take_linear_time(page):
+    import time
+
+    began = time.process_time()
+    assert html.without(html.tree(page), frozenset([1]), frozenset()) == ["deep"]
+    assert time.process_time() - began < 2
+
+
+def test_heads_that_do_not_end():
+    assert text_of("<html><head><title>t</title><p>one<div>two</div>") == "one\n\ntwo" and text_of("<head><title>t</title><body>one") == "one"
+    assert text_of("<article><p>E = <math><mi>m</mi><mo>c</mo></math></p></article>") == "E = mc"
+
+
 def test_copies_under_other_adverts_are_not_a_template(spark):
     article = "<article><h1>News</h1><p>first part</p><p>second part</p></article>"
     rows = [(i, f"http://a.org/{i}", f"<nav><a>menu {i}</a></nav><div class=ad>buy {i}</div>{article}") for i in range(40)]
@@ -363,6 +414,9 @@ def test_template_of_one_layout_among_several(spark):
     rows = [(i, f"http://a.org/{i}", f"<article><p>text {i}</p>" + (f"<p>we <b>too</b> say {i}</p><ul><li>yes<li>item {i}</ul>{box}" if i % 5 == 0 else "") + "</article>") for i in range(150)]
     # Near copies: one part of four differs.
     rows += [(200 + i, f"http://a.org/near/{i}", f"<article><p>first</p><p>second</p><p>third</p><p>edit {i}</p></article>") for i in range(30)]
+    # A passage that 60 articles quote.
+    rows += [(300 + i, f"http://a.org/quote/{i}", f"<article><h2>On it</h2><p>as they say</p><p>quote {i}</p></article>") for i in range(60)]
     got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[300] == "On it\n\nas they say\n\nquote 0"
     assert got[5] == "text 5\n\nwe too say 5\n\nyes\n\nitem 5"
     assert got[6] == "text 6" and got[200] == "first\n\nsecond\n\nthird\n\nedit 0"
