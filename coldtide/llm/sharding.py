@@ -12,7 +12,13 @@ renamed to its number without overwriting, so a version has one author and is
 complete once it is visible. An append that loses the race is repeated on the
 new version; a compaction commits only if all shards it replaces are still
 live. Files that no manifest names, as a lost driver leaves them, are never
-read; ``vacuum`` deletes them and those of retired shards.
+read; ``vacuum`` deletes retired shards at once, and unnamed files when they are
+old enough that no append can still be about to name them. An append makes sure
+that its files are there when it names them.
+
+Columns that an arrival adds are added to the store, null in earlier rows; one
+that lacks columns has nulls there; one with another type for a column is
+rejected before it is written.
 
 Defined cases: an empty arrival commits a version without a new shard, and an
 empty store reads as an empty table; nulls, repeated rows, long texts and extra
@@ -24,6 +30,7 @@ from __future__ import annotations
 
 import json
 import math
+import time
 import uuid
 from dataclasses import asdict, dataclass
 
@@ -46,12 +53,27 @@ class Manifest:
     version: int
     schema: str | None
     shards: tuple[Shard, ...]
+    #: Paths of shards that were replaced since the last vacuum.
+    retired: tuple[str, ...] = ()
 
 
 class Conflict(Exception):
     """Another writer committed the version first."""
 
 
+def merged_schema(held: str | None, new: T.StructType) -> str:
+    """The store's schema with the columns of an arrival; ValueError if one has
+    another type there."""
+    fields = T.StructType.fromJson(json.loads(held)).fields if held else []
+    known = {f.name.lower(): f for f in fields}
+    for f in new.fields:
+        if (old := known.get(f.name.lower())) is None:
+            fields.append(T.StructField(f.name, f.dataType, True))
+        elif old.dataType != f.dataType:
+            raise ValueError(f"column {f.name} is {old.dataType.simpleString()} in the store and {f.dataType.simpleString()} in the arrival")
+    return T.StructType(fields).json()
+
+
 class ShardStore:
     def __init__(self, spark: SparkSession, root: str, target_bytes: int = 128 << 20, fanout: int = 4):
         self.spark, self.root, self.target, self.fanout = spark, root.rstrip("/"), target_bytes, fanout
@@ -63,12 +85,16 @@ class ShardStore:
     def _path(self, below: str):
         return self._jvm.org.apache.hadoop.fs.Path(self.root + below)
 
-    def _files(self, folder: str) -> list[tuple[str, int]]:
-        """Parquet files below a folder with their sizes, by path."""
-        found, walk = [], self._fs.listFiles(self._jvm.org.apache.hadoop.fs.Path(folder), True)
+    def _files(self, folder: str, before_ms: float = math.inf) -> list[tuple[str, int]]:
+        """Parquet files below a folder, changed before a time, with their
+        sizes, by path."""
+        found, top = [], self._jvm.org.apache.hadoop.fs.Path(folder)
+        if not self._fs.exists(top):
+            return []
+        walk = self._fs.listFiles(top, True)
         while walk.hasNext():
             status = walk.next()
-            if status.getPath().getName().endswith(".parquet"):
+            if status.getPath().getName().endswith(".parquet") and status.getModificationTime() <= before_ms:
                 found.append((status.getPath().toString(), status.getLen()))
         return sorted(found)
 
@@ -83,7 +109,7 @@ class ShardStore:
             told = json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
-        return Manifest(told["version"], told["schema"], tuple(Shard(**x) for x in told["shards"]))
+        return Manifest(told["version"], told["schema"], tuple(Shard(**x) for x in told["shards"]), tuple(told["retired"]))
 
     def _commit(self, new: Manifest) -> Manifest:
         """Make a version visible at once, or raise Conflict."""
@@ -103,29 +129,33 @@ class ShardStore:
             raise
         return new
 
-    def _publish(self, shards: list[Shard], schema: str) -> Manifest:
+    def _publish(self, shards: list[Shard], schema: T.StructType) -> Manifest:
         while True:
             now = self.manifest()
+            if gone := [s.path for s in shards if not self._fs.exists(self._jvm.org.apache.hadoop.fs.Path(s.path))]:
+                raise FileNotFoundError(f"files of an arrival are gone before it was published: {gone[:3]}")
             try:
-                return self._commit(Manifest(now.version + 1, now.schema or schema, now.shards + tuple(shards)))
+                return self._commit(Manifest(now.version + 1, merged_schema(now.schema, schema), now.shards + tuple(shards), now.retired))
             except Conflict:
                 continue
 
     def append(self, df: DataFrame) -> Manifest:
         """One arrival: its partitions become shards of generation 0."""
+        merged_schema(self.manifest().schema, df.schema)
         folder = f"{self.root}/data/{uuid.uuid4().hex}"
         df.write.option("compression", "zstd").parquet(folder)
-        return self._publish([Shard(p, n, 0) for p, n in self._files(folder)], df.schema.json())
+        return self._publish([Shard(p, n, 0) for p, n in self._files(folder)], df.schema)
 
     def append_many(self, df: DataFrame, arrival: F.Column | str) -> list[Manifest]:
         """One arrival per value of ``arrival``, written in one pass and
         committed as one version each."""
+        merged_schema(self.manifest().schema, df.schema)
         folder = f"{self.root}/data/{uuid.uuid4().hex}"
         df.withColumn("coldtide_arrival", arrival).write.option("compression", "zstd").partitionBy("coldtide_arrival").parquet(folder)
         groups: dict[str, list[Shard]] = {}
         for path, size in self._files(folder):
             groups.setdefault(path.rsplit("/", 2)[1], []).append(Shard(path, size, 0))
-        return [self._publish(groups[k], df.schema.json()) for k in sorted(groups)] or [self._publish([], df.schema.json())]
+        return [self._publish(groups[k], df.schema) for k in sorted(groups)] or [self._publish([], df.schema)]
 
     def tier(self, size: int) -> int:
         """0 for final shards, else how many fanouts below the target."""
@@ -156,21 +186,28 @@ class ShardStore:
         session.read.schema(schema).parquet(*[s.path for s in run]).write.option("compression", "zstd").parquet(folder)
         return [Shard(p, n, 1 + max(s.generation for s in run)) for p, n in self._files(folder)]
 
-    def _replace(self, old: list[Shard], new: list[Shard]) -> Manifest:
+    def _replace(self, old: list[Shard], new: list[Shard], deleted: set[str] = frozenset()) -> Manifest:
         gone = {s.path for s in old}
         while True:
             now = self.manifest()
             if not gone <= {s.path for s in now.shards}:
                 return now
             try:
-                return self._commit(Manifest(now.version + 1, now.schema, tuple(s for s in now.shards if s.path not in gone) + tuple(new)))
+                return self._commit(Manifest(now.version + 1, now.schema, tuple(s for s in now.shards if s.path not in gone) + tuple(new), tuple(p for p in now.retired if p not in deleted) + tuple(sorted(gone))))
             except Conflict:
                 continue
 
-    def vacuum(self) -> int:
-        """Delete data files that the latest manifest does not name."""
-        live = {s.path for s in self.manifest().shards}
-        dead = [p for p, _ in self._files(f"{self.root}/data") if p not in live]
+    def vacuum(self, grace_s: float = 86_400) -> int:
+        """Delete retired shards, and files older than ``grace_s`` that no
+        manifest names; no append may take longer than that."""
+        now = self.manifest()
+        live, retired = {s.path for s in now.shards}, set(now.retired)
+        if retired:
+            # Readers of the version see first that these go.
+            self._replace([], [], retired)
+        dead = [p for p, _ in self._files(f"{self.root}/data") if p in retired]
+        before = time.time() * 1000 - 1000 * grace_s
+        dead += [p for p, _ in self._files(f"{self.root}/data", before) if p not in live and p not in retired]
         for path in dead:
             self._fs.delete(self._jvm.org.apache.hadoop.fs.Path(path), False)
         return len(dead)

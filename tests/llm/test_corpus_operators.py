@@ -53,7 +53,35 @@ def test_a_version_has_one_author(spark):
     assert b.append(spark.range(3).toDF("x")).version == 2 and a.read().count() == 8
     # What a lost writer leaves is not read.
     spark.range(9).toDF("x").write.parquet(f"{root}/data/orphan")
-    assert a.read().count() == 8 and a.vacuum() > 0
+    assert a.read().count() == 8 and a.vacuum() == 0 and a.vacuum(grace_s=-60) > 0 and a.read().count() == 8
+
+
+def test_arrivals_of_other_columns(spark):
+    store = sharding.ShardStore(spark, scratch_path(spark, "test-shards"), target_bytes=1 << 20, fanout=2)
+    store.append(spark.range(3).selectExpr("id", "'a' as text"))
+    store.append(spark.range(3, 5).selectExpr("id", "'b' as text", "id * 2 as added"))
+    store.append(spark.range(5, 6).selectExpr("id"))
+    with pytest.raises(ValueError, match="column text"):
+        store.append(spark.range(2).selectExpr("id", "id as text"))
+    want = [(0, "a", None), (1, "a", None), (2, "a", None), (3, "b", 6), (4, "b", 8), (5, None, None)]
+    for change in (lambda: None, store.compact, store.vacuum):
+        change()
+        assert sorted(map(tuple, store.read().collect())) == want
+    assert store.read().columns == ["id", "text", "added"] and not store.manifest().retired
+    # Nothing was published, and nothing is left, of the rejected arrival.
+    assert store.vacuum(grace_s=-60) == 0
+
+
+def test_vacuum_spares_an_arrival_not_published_yet(spark, monkeypatch):
+    store = sharding.ShardStore(spark, scratch_path(spark, "test-shards"))
+    publish = store._publish
+    monkeypatch.setattr(store, "_publish", lambda *a: (store.vacuum(), publish(*a))[1])
+    store.append(spark.range(7).toDF("x"))
+    assert store.read().count() == 7
+    monkeypatch.setattr(store, "_publish", lambda *a: (store.vacuum(grace_s=-60), publish(*a))[1])
+    with pytest.raises(FileNotFoundError):
+        store.append(spark.range(7).toDF("x"))
+    assert store.read().count() == 7
 
 
 # Lines
