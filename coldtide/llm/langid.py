@@ -34,11 +34,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coldtide.session import ship_code
+from coldtide.session import drop, ship_code, staged
 
 ORDERS = (4, 3, 2, 1)
 WORD = regex.compile(r"\p{M}*\p{L}[\p{L}\p{M}]*")
@@ -47,13 +48,17 @@ ASCII_WORD = regex.compile(r"[a-z]+")
 
 @dataclass
 class Table:
-    """Units and, in the order of units, where their entries end; an entry is a
-    language's number and what the unit is better than an unknown one there."""
+    """Units and their entries: the numbers of languages that have the unit,
+    and what it is better there than an unknown one."""
 
-    units: list[str]
-    ends: np.ndarray
-    languages: np.ndarray
-    gains: np.ndarray
+    units: pa.StringArray
+    languages: pa.ListArray
+    gains: pa.ListArray
+
+    def entries(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Where each unit's entries begin, how many they are, and all entries."""
+        ends = self.languages.offsets.to_numpy().astype(np.int64)
+        return ends[:-1] - ends[0], np.diff(ends), self.languages.flatten().to_numpy(), self.gains.flatten().to_numpy()
 
 
 @dataclass
@@ -121,21 +126,21 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     units = counted.select("_lang", F.lit(0).alias("_order"), "_unit", "count").unionByName(
         counted.select("_lang", "count", F.explode(grams).alias("_x")).where("trim(_x.g) <> ''").groupBy("_lang", F.col("_x.o").alias("_order"), F.col("_x.g").alias("_unit")).agg(F.sum("count").alias("count"))
     )
-    found = units.toPandas()
     # The number of rows orders the languages for ties.
     sizes = {r["_lang"]: r["n"] for r in rows.groupBy("_lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes, key=lambda x: (-sizes[x], x))
-    found["_at"] = found["_lang"].map({x: i for i, x in enumerate(languages)}).astype("int32")
-    total = found.groupby(["_at", "_order"])["count"].transform("sum")
-    found["_gain"] = np.maximum(0.0, penalty + np.log10(found["count"].to_numpy(float) / total.to_numpy(float)))
-    found = found.sort_values(["_order", "_unit", "_at"], kind="stable")
+    number = docs.sparkSession.createDataFrame(list(enumerate(languages)), f"_at int, _lang {rows.schema['_lang'].dataType.simpleString()}")
+    units = staged(units, "language-units")
+    totals = units.groupBy("_lang", "_order").agg(F.sum("count").alias("total")).join(F.broadcast(number), "_lang")
+    gain = F.greatest(F.lit(0.0), penalty + F.log10(F.col("count") / F.col("total"))).cast("float")
+    entry = F.sort_array(F.collect_list(F.struct("_at", gain.alias("_gain"))))
+    each = units.join(F.broadcast(totals), ["_lang", "_order"]).groupBy("_order", "_unit").agg(entry.alias("x")).select("_order", "_unit", F.col("x._at").alias("at"), F.col("x._gain").alias("gain"))
+    found = each.toArrow()
+    drop(units)
 
     def table(order: int) -> Table:
-        part = found[found["_order"] == order]
-        units, number = np.unique(part["_unit"].to_numpy(object), return_inverse=True) if len(part) else (np.array([], object), np.zeros(0, np.int64))
-        ends = np.cumsum(np.bincount(number, minlength=len(units)))
-        by = np.argsort(number, kind="stable")
-        return Table(units.tolist(), ends, part["_at"].to_numpy(np.int32)[by], part["_gain"].to_numpy(np.float32)[by])
+        part = found.filter(pc.equal(found["_order"], order)).combine_chunks()
+        return Table(*(pa.concat_arrays([pa.array([], part.schema.field(c).type), *part[c].chunks]) for c in ("_unit", "at", "gain")))
 
     return Model(languages, penalty, table(0), {n: table(n) for n in ORDERS})
 
@@ -151,20 +156,18 @@ class Scorer:
 
     def __init__(self, model: Model, remembered: int = 400_000):
         self.model, self.remembered = model, remembered
-        self.grams = {order: dict(zip(table.units, range(len(table.units)))) for order, table in model.grams.items()}
+        self.grams = {order: dict(zip(table.units.to_pylist(), range(len(table.units)))) for order, table in model.grams.items()}
+        self.entries = {order: table.entries() for order, table in model.grams.items()}
         self.forget()
 
     def forget(self) -> None:
         table = self.model.words
-        self.words = dict(zip(table.units, range(len(table.units))))
+        self.words = dict(zip(table.units.to_pylist(), range(len(table.units))))
         self.most = len(self.words) + self.remembered
-        self.starts = np.concatenate([[0], table.ends[:-1]]).astype(np.int64) if len(table.units) else np.zeros(0, np.int64)
-        self.sizes = table.ends - self.starts
-        self.languages, self.gains = table.languages, table.gains
+        self.starts, self.sizes, self.languages, self.gains = table.entries()
 
     def learn(self, words: list[str]) -> None:
         """Give unseen words the mean entries of their longest known n-grams."""
-        owner, sizes, starts, parts = [], [], [], []
         number = len(self.model.languages)
         by_order: dict[int, tuple[list[int], list[int]]] = {order: ([], []) for order in ORDERS}
         for k, word in enumerate(words):
@@ -180,11 +183,10 @@ class Scorer:
         for order, (who, what) in by_order.items():
             if not what:
                 continue
-            table, who, what = self.model.grams[order], np.array(who), np.array(what)
-            first = np.where(what > 0, table.ends[what - 1], 0)
-            size = table.ends[what] - first
-            place = spread(first, size)
-            sums.append((np.repeat(who, size) * number + table.languages[place], table.gains[place]))
+            first, sizes, languages, gains = self.entries[order]
+            who, what = np.array(who), np.array(what)
+            place = spread(first[what], sizes[what])
+            sums.append((np.repeat(who, sizes[what]) * number + languages[place], gains[place]))
             np.add.at(many, who, 1)
         if sums:
             cells, at = np.unique(np.concatenate([c for c, _ in sums]), return_inverse=True)

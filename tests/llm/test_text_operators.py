@@ -246,8 +246,10 @@ def test_language_against_brute_force(spark):
 
 
 def test_words_are_remembered_within_bounds():
-    table = langid.Table(["a"], np.array([1]), np.array([0], np.int32), np.array([3.0], np.float32))
-    none = langid.Table([], np.array([], np.int64), np.array([], np.int32), np.array([], np.float32))
+    import pyarrow as pa
+
+    kinds = pa.string(), pa.list_(pa.int32()), pa.list_(pa.float32())
+    table, none = (langid.Table(*map(pa.array, x, kinds)) for x in ((["a"], [[0]], [[3.0]]), ([], [], [])))
     scorer = langid.Scorer(langid.Model(["x", "y"], 7.0, table, {n: none for n in langid.ORDERS}), remembered=3)
     for _ in range(3):
         assert [x for x, _ in scorer.predict(["a b c d e f g", "q"])] == ["x", "x"]
