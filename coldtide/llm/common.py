@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bits of a key filter per key, at least.
-SPARSE = 16
+SPARSE = 32
 
 #: Java and RE2 pattern of white space between words.
 BLANK = r"[\x20\x09-\x0D]"
@@ -42,8 +42,8 @@ def words(text: Column) -> Column:
 
 @dataclass
 class KeyFilter:
-    """Which longs may be among the keys of a table: a bitmap on their upper
-    bits, sized by the number of keys, so that at most one in ``SPARSE`` others
+    """Which longs may be among the (hashed) keys of a table: a Bloom filter of
+    two probes with SPARSE bits a key or more, so that at most one of 250 others
     passes. It is false where the table has more than ``most`` keys: then it
     isn't made, and callers join by the keys instead."""
 
@@ -56,15 +56,22 @@ class KeyFilter:
         if number > most:
             return cls(0, None)
         bits = max(16, (number * SPARSE).bit_length())
-        bit = F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned({name}, {64 - bits}) & 63 as int)))")
-        found = keys.groupBy(F.shiftrightunsigned(name, 64 - bits + 6).cast("int").alias("w")).agg(bit.alias("b")).toPandas()
+        # The second probe takes the bits that the first leaves, turned around.
+        turned = F.expr(f"shiftleft({name}, 32) | shiftrightunsigned({name}, 32)")
+        probes = keys.select(F.explode(F.array(F.col(name), turned)).alias("k"))
+        bit = F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned(k, {64 - bits}) & 63 as int)))")
+        found = probes.groupBy(F.shiftrightunsigned("k", 64 - bits + 6).cast("int").alias("w")).agg(bit.alias("b")).toArrow()
         held = np.zeros(1 << (bits - 6), np.uint64)
-        held[found["w"].to_numpy(np.int64)] = found["b"].to_numpy(np.int64).view(np.uint64)
+        held[found["w"].to_numpy().astype(np.int64)] = found["b"].to_numpy().view(np.uint64)
         return cls(bits, keys.sparkSession.sparkContext.broadcast(held))
 
     def __bool__(self) -> bool:
         return self.held is not None
 
     def may_hold(self, keys: np.ndarray) -> np.ndarray:
-        slot = keys >> np.uint64(64 - self.bits)
-        return (self.held.value[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+        """For unsigned keys."""
+        held, found = self.held.value, np.ones(len(keys), bool)
+        for probe in (keys, (keys << np.uint64(32)) | (keys >> np.uint64(32))):
+            slot = probe >> np.uint64(64 - self.bits)
+            found &= (held[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return found

@@ -161,9 +161,9 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def summaries(docs: DataFrame, like: Similarity, id_col: str, text_col: str) -> DataFrame:
-    """Per row: id, text hash, set size, class (128-bit digest of the set, and
-    its first half as a number), and per size group (the own and, where needed,
-    the next) its segment keys and how many it must share."""
+    """Per row: id, text hash, set size, class (128-bit digest of the set), and
+    per size group (the own and, where needed, the next) its segment keys and
+    how many of them it must share."""
     ship_code(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -182,22 +182,21 @@ def summaries(docs: DataFrame, like: Similarity, id_col: str, text_col: str) ->
                             there = i < len(groups)
                             keys[i].append(segment_keys(held, groups[i], like.fragments(groups[i])) if there else empty)
                             need[i].append(like.slack(groups[i]) + 1 if there else 1)
-                half = np.frombuffer(b"".join(x[:8] for x in node), ">u8").astype(np.uint64)
                 lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, k)]), pa.int32()), _signed(np.concatenate([empty, *k]))) for k in keys]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(size, pa.int64()), pa.array(node, pa.binary()), _signed(half), lists[0], pa.array(need[0], pa.int64()), lists[1], pa.array(need[1], pa.int64())], ["_id", "_x", "_n", "_node", "_a", *NEEDED])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(size, pa.int64()), pa.array(node, pa.binary()), lists[0], pa.array(need[0], pa.int64()), lists[1], pa.array(need[1], pa.int64())], ["_id", "_x", "_n", "_node", *NEEDED])
 
-    return _rows(docs, id_col, text_col).mapInArrow(run, f"_id {kind}, _x long, _n long, _node binary, _a long, _own array<long>, _own_need long, _next array<long>, _next_need long")
+    return _rows(docs, id_col, text_col).mapInArrow(run, f"_id {kind}, _x long, _n long, _node binary, _own array<long>, _own_need long, _next array<long>, _next_need long")
 
 
 def live_classes(summary: DataFrame, like: Similarity) -> DataFrame:
-    """(node, _x) of the classes that share enough segments to have a partner.
+    """(class, node, _x) of the classes that share enough segments to have a
+    partner, numbered by ``node``.
 
-    Of the linked classes none is missed; others may be among them. _x picks
-    one text of the class.
+    Of the linked classes none is missed; others may be among them, as those
+    whose copies alone share their segments. _x picks one text of the class.
     """
-    each = summary.select("_a", F.explode(F.concat("_own", "_next")).alias("key"))
-    shared = each.groupBy("key").agg(F.min("_a").alias("x"), F.max("_a").alias("y")).where("x <> y").select("key")
-    shared = staged(shared, "shared-keys")
+    each = summary.select(F.explode(F.concat("_own", "_next")).alias("key"))
+    shared = staged(each.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared-keys")
     known = KeyFilter.of(shared, "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,14 +216,17 @@ def live_classes(summary: DataFrame, like: Similarity) -> DataFrame:
         parts = (one.select("_node", "_x", F.col(f"{c}_need").alias("need"), F.explode(c).alias("key")) for c in ("_own", "_next"))
         hits = next(parts).unionByName(next(parts)).join(shared, "key", "left_semi").groupBy("_node", "_x", "need").agg(F.count("*").alias("hits"))
         found = hits.where("hits >= need").select("_node", "_x")
-    return staged(found.groupBy(F.col("_node").alias("node")).agg(F.min("_x").alias("_x")), "live-classes")
+    found = found.groupBy(F.col("_node").alias("class")).agg(F.min("_x").alias("_x"))
+    found = staged(found.withColumn("node", F.monotonically_increasing_id()), "live-classes")
+    drop(shared)
+    return found
 
 
 def fragments(docs: DataFrame, like: Similarity, id_col: str, text_col: str, live: DataFrame) -> DataFrame:
     """(node, fragment, size, grams) of the live classes, staged.
 
-    One text per class is read again. What a filter lets pass beside them is a
-    class of its own and does no harm.
+    One text per class is read again. What a filter lets pass beside them finds
+    no class.
     """
     chosen = live.select("_x").distinct()
     known = KeyFilter.of(chosen, "_x")
@@ -249,11 +251,11 @@ def fragments(docs: DataFrame, like: Similarity, id_col: str, text_col: str, liv
                                 size.append(len(grams))
                                 lists.append(piece)
                 cut = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, lists)]), pa.int32()), _signed(np.concatenate([empty, *lists])))
-                yield pa.RecordBatch.from_arrays([pa.array(node, pa.binary()), pa.array(number, pa.int32()), pa.array(size, pa.int64()), cut], ["node", "fragment", "size", "grams"])
+                yield pa.RecordBatch.from_arrays([pa.array(node, pa.binary()), pa.array(number, pa.int32()), pa.array(size, pa.int64()), cut], ["class", "fragment", "size", "grams"])
 
     rows = rows if known else rows.join(chosen, "_x", "left_semi").select("_text", "_x")
-    cut = rows.mapInArrow(run, "node binary, fragment int, size long, grams array<long>")
-    return staged(cut.dropDuplicates(["node", "fragment"]), "fragments")
+    cut = rows.mapInArrow(run, "class binary, fragment int, size long, grams array<long>")
+    return staged(cut.join(live, "class").dropDuplicates(["class", "fragment"]).select("node", "fragment", "size", "grams"), "fragments")
 
 
 def prefixes(held: DataFrame, like: Similarity) -> DataFrame:
@@ -309,7 +311,7 @@ def overlaps(pairs: DataFrame, held: DataFrame, per_cell: int = 8_000) -> DataFr
     def count(ours: pa.Table, theirs: pa.Table) -> pa.Table:
         return partial_overlaps(ours, theirs)
 
-    partial = dealt.groupBy("cell", "fragment").cogroup(sent.groupBy("at", "part")).applyInArrow(count, "a binary, b binary, fragment int, same long, mask long")
+    partial = dealt.groupBy("cell", "fragment").cogroup(sent.groupBy("at", "part")).applyInArrow(count, "a long, b long, fragment int, same long, mask long")
     masks = [F.sum(F.when(F.col("fragment") == f, F.col("mask")).otherwise(0)).alias(f"m{f}") for f in range(WIDE)]
     return partial.groupBy("a", "b").agg(F.sum("same").alias("same"), *masks)
 
@@ -381,8 +383,13 @@ def _joined_rows(docs: DataFrame, like: Similarity, id_col: str, text_col: str)
     rows = staged(summary.select("_id", "_x", "_n", F.col("_node").alias("node")), "classes")
     drop(summary)
     label = joined(docs, like, id_col, text_col, live)
+    if label is not None:
+        names = live.select(F.col("node").alias("label"), F.col("class").alias("_label"))
+        label = staged(label.join(live, "node").select("class", "label").join(names, "label").drop("label"), "class-labels")
     drop(live)
-    rows = rows.withColumn("_label", F.col("node")) if label is None else rows.join(label, "node", "left").withColumn("_label", F.coalesce("label", "node"))
+    rows = rows.withColumn("_label", F.col("node"))
+    if label is not None:
+        rows = rows.drop("_label").join(label, F.col("node") == F.col("class"), "left").withColumn("_label", F.coalesce("_label", "node"))
     rows = rows.withColumn("_first", F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_x").alias("x")))
     least = rows.where("_n > 0").groupBy(F.col("_label").alias("_of")).agg(F.min("_first").alias("_least"))
     return rows.join(least, F.col("_label") == F.col("_of"), "left").select("_id", "_x", "_n", "_first", "_least")
