@@ -64,7 +64,7 @@ class JournalWriter:
 
     def event(self, seconds: int, fraction: str, index_time: int, host: bytes, source: bytes, sourcetype: bytes, raw: bytes, fields: Sequence[tuple[bytes, int, object]] = (), opcode: int = 41) -> None:
         """One event. A field is (name, type, value): type 0 bytes, 8 and 9
-        magnitudes, 4 (length, offset)."""
+        magnitudes, 4 (length, offset), others as many integers as they have."""
         wanted = [self.number(i, x) for i, x in enumerate((host, source, sourcetype))]
         entries = bytearray()
         for name, kind, value in fields:
@@ -72,8 +72,8 @@ class JournalWriter:
             entries += varint(key >> 2 if 32 <= opcode <= 35 else key)
             if kind == 0:
                 entries += varint(self.number(3, value))
-            elif kind == 4:
-                entries += varint(value[0]) + varint(value[1])
+            elif isinstance(value, tuple):
+                entries += b"".join(map(varint, value))
             else:
                 entries += varint(value)
         code, state = 16, bytearray()
@@ -151,10 +151,23 @@ def _iso(seconds: int, micros: int) -> str:
     return datetime.fromtimestamp(seconds, timezone.utc).strftime("%Y-%m-%dT%H:%M:%S") + f".{micros:06d}+0000"
 
 
-def events_journal(rows: Iterable[tuple], oldest: int) -> bytes:
+#: Records that hold no event: padding, a slice's hash, a private block.
+FILLERS = (bytes(5), b"\x0b" + bytes(range(32)), b"\x09" + varint(300) + b"\x29" * 300)
+#: Metadata types that no field comes from, by their numbers of integers.
+OTHER_TYPES = ((3, 2), (6, 2), (7, 3), (10, 1), (12, 3), (13, 0), (14, 2))
+
+
+def events_journal(rows: Iterable[tuple], oldest: int, extras: bool = False) -> bytes:
+    """The journal of rows; with ``extras``, records and metadata between them
+    that readers pass over."""
     writer = JournalWriter(oldest)
     for event_id, micros, user_id, event_type, value, props in rows:
         seconds, rest = divmod(micros, 1_000_000)
+        if extras:
+            kind, many = OTHER_TYPES[event_id % len(OTHER_TYPES)]
+            writer.out += FILLERS[event_id % len(FILLERS)]
+            writer.event(seconds, f"{rest:06d}", seconds, f"host{user_id % 10}".encode(), b"s", event_type.encode(), props.encode(), [(b"event_id", 8, event_id), (b"odd", kind, (1,) * many), (b"last", 0, b"end")], opcode=36 + event_id % 8)
+            continue
         source = f"/var/log/{event_type}.log" if user_id % 2 == 0 else "tcp:514"
         writer.event(seconds, f"{rest:06d}", seconds + event_id % 11 - 5, f"host{user_id % 10}".encode(), source.encode(), event_type.encode(), props.encode(), event_fields(event_id, seconds, rest, user_id, event_type, value, props))
     return bytes(writer.out)
@@ -195,6 +208,15 @@ def build_events(rows: Iterable[tuple], root: str) -> None:
             put(root, f"web/db/DISABLED-db_{name}/rawdata/{ENDINGS[codec]}", data)
 
 
+def build_extras(rows: Iterable[tuple], root: str, per_bucket: int = 5_000) -> None:
+    """Events in buckets of one index, with records that readers pass over."""
+    held = sorted(rows, key=lambda r: (r[1], r[0]))
+    for n in range(0, len(held), per_bucket):
+        part = held[n : n + per_bucket]
+        oldest, newest = part[0][1] // 1_000_000, part[-1][1] // 1_000_000
+        put(root, f"odd/db/db_{newest}_{oldest}_{n}/rawdata/journal.zst", compressed(events_journal(part, oldest, extras=True), "zstd"))
+
+
 def build_documents(rows: Iterable[tuple[int, str]], root: str, per_bucket: int = 500) -> None:
     """Texts as events: raw bytes that are long, of many lines, not ASCII."""
     held: list[tuple[int, str]] = sorted(rows)
@@ -210,15 +232,18 @@ def build_documents(rows: Iterable[tuple[int, str]], root: str, per_bucket: int
 
 def tree(spark, sf_dir: str, what: str = "events") -> str:
     """Root of the tree built from a table, built once per shared folder."""
-    folder = urlsplit(shared_folder(spark)).path
+    where = urlsplit(shared_folder(spark))
+    if where.scheme not in ("", "file"):
+        raise ValueError(f"bucket trees are built on a file system that all executors mount, not on [{where.scheme}]")
+    folder = where.path
     name = f"bucket-tree-{what}-{hashlib.md5(sf_dir.encode()).hexdigest()[:12]}"
     root = os.path.join(folder, name)
     if os.path.isdir(root):
         return root
     aside = f"{root}-{uuid.uuid4().hex}"
-    if what == "events":
+    if what in ("events", "extras"):
         frame = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("event_id", "timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', ts) as us", "user_id", "event_type", "value", "props").toPandas()
-        build_events(frame.itertuples(index=False, name=None), aside)
+        (build_events if what == "events" else build_extras)(frame.itertuples(index=False, name=None), aside)
     else:
         frame = spark.read.parquet(f"{sf_dir}/documents.parquet").where("text is not null").select("doc_id", "text").toPandas()
         build_documents(frame.itertuples(index=False, name=None), aside)

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from coldtide.operators.fields import sampled_fields
 from coldtide.sources import options
-from coldtide.sources.bucket_source import NAME, register
+from coldtide.sources.bucket_source import NAME, find_buckets, register
+from coldtide.sources.schema import flat_schema
+from coldtide.sources.storage import open_store
 
 _VIEW = re.compile(r"[A-Za-z_]\w*", re.ASCII)
 
@@ -59,8 +63,31 @@ class Catalog:
         del self.sources[name]
 
 
+#: Seconds for which sampled field names are remembered.
+FIELDS_LAST = 600
+_fields: dict[tuple, tuple[float, tuple[str, ...]]] = {}
+
+
+def discovered_fields(settings: options.Settings) -> tuple[str, ...]:
+    """Sampled field names of a dataset, remembered by all that chooses its
+    buckets (credentials excluded). A sampling that fails is not remembered."""
+    key = (settings.location, settings.endpoint, settings.region, settings.path_style, settings.index, settings.index_pattern, settings.earliest, settings.latest)
+    now = time.monotonic()
+    for old in [k for k, (until, _) in _fields.items() if until <= now]:
+        _fields.pop(old, None)
+    if key not in _fields:
+        store = open_store(settings)
+        _fields[key] = now + FIELDS_LAST, tuple(sampled_fields(store, find_buckets(settings, store)))
+    return _fields[key][1]
+
+
 def read(spark: SparkSession, location: str, schema=None, **settings: Any) -> DataFrame:
     """A bucket tree as a DataFrame. ``schema`` may be a part of the layout."""
     register(spark)
+    if schema is None:
+        parsed = options.parse(location, {k.lower(): v for k, v in settings.items() if v is not None})
+        if parsed.layout == "flat" and parsed.discover_fields:
+            # Planning runs in a process of its own per query, so the driver remembers.
+            schema = flat_schema(list(dict.fromkeys(parsed.fields + discovered_fields(parsed))), parsed.columns)
     reader = spark.read.format(NAME).options(**{k: str(v) for k, v in settings.items() if v is not None})
     return (reader.schema(schema) if schema is not None else reader).load(location)

@@ -39,11 +39,13 @@ def ship_code(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster shares (``spark.checkpoint.dir``).
 
-    Only where the setting is absent, as in local tests, a temporary folder
-    takes its place.
+    Only where the setting is absent and the master is local, as in tests, a
+    temporary folder takes its place.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         folder = tempfile.mkdtemp(prefix="coldtide-shared-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         folder = Path(folder).as_uri()

@@ -49,7 +49,7 @@ def find_buckets(settings: Settings, store: FileStore | ObjectStore, ranges: boo
     """The buckets of a dataset; none is an error unless a window is set."""
     found = discover(store.list(), lambda key: read_small(store, key), settings.root_name, settings.index, settings.index_pattern, settings.earliest, settings.latest, ranges)
     if not found and settings.earliest is None and settings.latest is None:
-        raise DiscoveryError(f"no buckets found under [{store.describe()}]")
+        raise DiscoveryError(f"[{store.describe()}] holds no bucket")
     return found
 
 

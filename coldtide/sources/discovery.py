@@ -162,9 +162,10 @@ def discover(listing: Iterable[tuple[str, int]], read: Callable[[str], bytes], r
             continue
         keys = journal_keys(copies[_chosen_copy(copies, receipt)])
         newest = oldest = None
-        replica = False
+        replica = primary = False
         if found := CLASSIC.fullmatch(bucket_id):
             newest, oldest, replica = int(found[2]), int(found[3]), found[1] == "rb"
+            primary = not replica
             identity = f"{found[4]}_{found[5]}" if found[5] else directory
         elif found := REMOTE.fullmatch(bucket_id):
             identity = f"{found[1]}_{found[2]}"
@@ -177,7 +178,7 @@ def discover(listing: Iterable[tuple[str, int]], read: Callable[[str], bytes], r
         if not bucket.overlaps(earliest, latest):
             continue
         held = chosen.get((name, identity))
-        if held is None or held[0] and not replica:
+        if held is None or held[0] and primary:
             chosen[name, identity] = replica, bucket
     return sorted((b for _, b in chosen.values()), key=lambda b: (-(b.newest if b.newest is not None else -1), b.directory))
 

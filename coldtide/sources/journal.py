@@ -62,9 +62,8 @@ class _More(Exception):
 class JournalDecoder:
     """Iterates events. ``position`` is the offset of the record in work.
 
-    Without ``decode_fields`` metadata is walked but not kept. Without
-    ``decode_raw`` as well, all of an event behind its times is skipped, and
-    damage there is not noticed.
+    Without ``decode_fields`` metadata is walked but not kept, and without
+    ``decode_raw`` as well, raw bytes are not copied. Damage is noticed alike.
     """
 
     def __init__(self, chunks: Iterator[bytes], decode_fields: bool = True, decode_raw: bool = True):
@@ -162,7 +161,7 @@ class JournalDecoder:
                 pass
             if not self._grow():
                 if self._at < len(self._buffer):
-                    raise CorruptJournal(f"journal truncated at offset {self._start + len(self._buffer)}")
+                    raise CorruptJournal(f"the journal stops inside a record, after byte {self._start + len(self._buffer)}")
                 return
 
     def _state(self, code: int, at: int) -> int:
@@ -204,10 +203,6 @@ class JournalDecoder:
         fraction, at = varint(at)
         host, source, sourcetype = self._active
         time_ms = self._base_time * 1000 + (subsecond_micros(fraction) // 1000 if fraction else 0)
-        if self._skip:
-            if at > end:
-                raise CorruptJournal(f"event ends before its header at offset {self._start + begin}")
-            return Event(time_ms, self._base_index + delta, host, source, sourcetype, b"", []), end
         count = buffer[at]
         if count < 128:
             at += 1
@@ -260,8 +255,8 @@ class JournalDecoder:
                 fields.append((strings[number - 1], b""))
         at += extension
         if at > end:
-            raise CorruptJournal(f"event ends before its header at offset {self._start + begin}")
-        raw = buffer[at:end]
+            raise CorruptJournal(f"an event at offset {self._start + begin} is shorter than its own header")
+        raw = b"" if self._skip else buffer[at:end]
         if slices:
             for place, name, length, offset in slices:
                 if offset + length <= len(raw):

@@ -54,7 +54,7 @@ class FileStore:
     def list(self) -> Iterator[tuple[str, int]]:
         """(key, size) of interesting regular files; links are not followed."""
         if not os.path.isdir(self.root):
-            raise StoreError(f"bucket root [{self.root}] is not a directory")
+            raise StoreError(f"[{self.root}] is no directory that buckets could be in")
         todo = [(self.root, "", 1)]
         while todo:
             folder, prefix, depth = todo.pop()
@@ -82,6 +82,43 @@ class FileStore:
         return handle
 
 
+def excerpt(answer: http.client.HTTPResponse) -> str:
+    try:
+        return answer.read(2048).decode("utf-8", "replace")
+    except (OSError, http.client.HTTPException) as lost:
+        return f"({lost})"
+
+
+class Body:
+    """What a service sends of an object. A body that ends before its announced
+    length, or breaks off, is an error and never a clean end."""
+
+    def __init__(self, answer: http.client.HTTPResponse, name: str):
+        self._answer, self._name, self._left = answer, name, answer.length
+
+    def read(self, size: int = -1) -> bytes:
+        try:
+            data = self._answer.read() if size < 0 else self._answer.read(size)
+        except http.client.IncompleteRead as cut:
+            raise StoreError(f"[{self._name}] broke off: {cut}") from cut
+        except http.client.HTTPException as bad:
+            raise StoreError(f"[{self._name}] cannot be read: {bad!r}") from bad
+        if self._left is not None:
+            self._left -= len(data)
+            if self._left > 0 and size != 0 and (size < 0 or not data):
+                raise StoreError(f"[{self._name}] broke off {self._left} bytes before its end")
+        return data
+
+    def close(self) -> None:
+        self._answer.close()
+
+    def __enter__(self) -> Body:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
+
 class ObjectStore:
     """Buckets below a prefix of an S3-compatible service.
 
@@ -115,7 +152,7 @@ class ObjectStore:
                 if answer.status < 500 or attempt == TRIES - 1:
                     return answer
                 answer.close()
-            except OSError as lost:
+            except (OSError, http.client.HTTPException) as lost:
                 if attempt == TRIES - 1:
                     raise StoreError(f"cannot reach [{self.host}]: {lost}") from lost
             connection.close()
@@ -128,9 +165,9 @@ class ObjectStore:
             query = {"list-type": "2", "max-keys": str(PAGE_KEYS)} | ({"prefix": self.prefix} if self.prefix else {}) | ({"continuation-token": token} if token else {})
             with self._request(self.base + "/", query) as answer:
                 if answer.status != 200:
-                    raise StoreError(f"S3 list of [{self.describe()}] returned HTTP {answer.status}: {answer.read(2048).decode('utf-8', 'replace')}")
+                    raise StoreError(f"listing [{self.describe()}] failed with status {answer.status}: {excerpt(answer)}")
                 token = None
-                body = answer.read()
+                body = Body(answer, self.describe()).read()
             if b"<!DOCTYPE" in body[:1024] or b"<!ENTITY" in body:
                 raise StoreError("S3 list holds a document type")
             for _, node in ElementTree.iterparse(io.BytesIO(body)):
@@ -150,8 +187,8 @@ class ObjectStore:
         answer = self._request(f"{self.base}/{self.prefix}{key}", {})
         if answer.status != 200:
             with answer:
-                raise StoreError(f"S3 GET [{key}] returned HTTP {answer.status}: {answer.read(2048).decode('utf-8', 'replace')}")
-        return answer
+                raise StoreError(f"reading [{key}] failed with status {answer.status}: {excerpt(answer)}")
+        return Body(answer, key)
 
 
 def encode(text: str, slash: bool = True) -> str:

@@ -114,3 +114,10 @@ def test_window_and_bounds():
 
 def test_absurd_numbers_do_not_fail():
     assert len(found({f"a/db/db_{10**30}_1_1/rawdata/journal.gz": 1, f"a/db/z/rawdata/{10**25}": 1})) == 2
+
+
+def test_only_a_classic_copy_replaces_a_replica():
+    rb = {f"a/db/0/rb_2_1_3_{G}/rawdata/journal.gz": 1}
+    remote, primary = {f"a/db/x/y/3~{G}/guidSplunk-U/rawdata/journal.zst": 1}, {f"a/zdb/db_2_1_3_{G}/rawdata/journal.gz": 1}
+    ids = lambda tree: [b.bucket_id for b in found(tree, index="a")]
+    assert ids(rb | remote) == [f"rb_2_1_3_{G}"] and ids(rb | primary) == [f"db_2_1_3_{G}"] and ids(rb | remote | primary) == [f"db_2_1_3_{G}"]

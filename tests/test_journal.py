@@ -36,7 +36,7 @@ def test_every_cut_ends_at_a_record_or_raises():
         try:
             got = decoded(GOLDEN[:n])
         except CorruptJournal as bad:
-            assert f"truncated at offset {n}" in str(bad)
+            assert f"after byte {n}" in str(bad)
         else:
             clean += 1
             assert got == whole[: len(got)]
@@ -127,7 +127,7 @@ def test_limits():
         decoded(bytes([6]) + varint((256 << 20) + 1))
     with pytest.raises(CorruptJournal, match="more than 10 bytes"):
         decoded(bytes([6]) + b"\xff" * 11)
-    with pytest.raises(CorruptJournal, match="before its header"):
+    with pytest.raises(CorruptJournal, match="shorter than its own header"):
         decoded(bytes([41]) + varint(9) + bytes(40))
 
 

@@ -81,7 +81,7 @@ def test_pages_prefix_and_get(service):
     store = ObjectStore(settings_of(service))
     assert sorted(store.list()) == [("a/journal.gz", 20), ("b&c/journal.gz", 22), ("d/journal.zst", 21)]
     assert store.open("b&c/journal.gz").read() == b"pre fix/b&c/journal.gz"
-    with pytest.raises(StoreError, match=r"S3 GET \[nothing\] returned HTTP 404: <Error>NoSuchKey"):
+    with pytest.raises(StoreError, match=r"reading \[nothing\] failed with status 404: <Error>NoSuchKey"):
         store.open("nothing")
 
 
@@ -90,7 +90,7 @@ def test_signature_token_and_retries(service):
     service.objects["pre fix/a/journal.gz"] = b"x"
     store = ObjectStore(settings_of(service, access_key="key", secret_key=SECRET, session_token="to/ken"))
     assert list(store.list()) == [("a/journal.gz", 1)]
-    with pytest.raises(StoreError, match="HTTP 403"):
+    with pytest.raises(StoreError, match="status 403"):
         list(ObjectStore(settings_of(service, access_key="key", secret_key="wrong")).list())
 
 
@@ -107,3 +107,19 @@ def test_query_over_objects(spark, service, tmp_path):
             service.objects["pre fix/" + path.relative_to(tmp_path).as_posix()] = path.read_bytes()
     df = read(spark, "splunks3://bucket/pre fix", endpoint=f"http://127.0.0.1:{service.server_port}")
     assert df.count() == 20 and df.select("splunk.index").distinct().first()[0] == "sales"
+
+
+def test_a_body_that_breaks_off_is_an_error(service):
+    service.objects["pre fix/a/journal.gz"] = b"0123456789"
+    whole, Fake.answer = Fake.answer, lambda self, status, body: (self.send_response(status), self.send_header("Content-Length", str(len(body) + 5)), self.end_headers(), self.wfile.write(body))
+    try:
+        body = ObjectStore(settings_of(service)).open("a/journal.gz")
+        assert body.read(4) == b"0123" and body.read(6) == b"456789"
+        with pytest.raises(StoreError, match="broke off 5 bytes before its end"):
+            body.read(4)
+        with pytest.raises(StoreError, match="broke off"):
+            ObjectStore(settings_of(service)).open("a/journal.gz").read()
+        with pytest.raises(StoreError, match="broke off"):
+            list(ObjectStore(settings_of(service)).list())
+    finally:
+        Fake.answer = whole

@@ -1,6 +1,7 @@
 import pytest
 from differential import both
 
+from coldtide.plans import edge_queries  # noqa: F401
 from coldtide.plans.queries import ORACLES, QUERIES
 
 
