@@ -230,12 +230,37 @@ def build_documents(rows: Iterable[tuple[int, str]], root: str, per_bucket: int
         put(root, f"docs/db/db_{newest}_{oldest}_{n}_{_guid('docs')}/rawdata/journal.zst", compressed(bytes(writer.out), "zstd"))
 
 
-def tree(spark, sf_dir: str, what: str = "events") -> str:
-    """Root of the tree built from a table, built once per shared folder."""
+def _folder(spark) -> str:
     where = urlsplit(shared_folder(spark))
     if where.scheme not in ("", "file"):
         raise ValueError(f"bucket trees are built on a file system that all executors mount, not on [{where.scheme}]")
-    folder = where.path
+    return where.path
+
+
+def _made(aside: str, root: str) -> str:
+    try:
+        os.rename(aside, root)
+    except OSError:
+        # Another process built it meanwhile.
+        shutil.rmtree(aside, ignore_errors=True)
+    return root
+
+
+def fixed_tree(spark, what: str, files: dict[str, bytes]) -> str:
+    """Root of a tree of given files, built once per content."""
+    told = hashlib.md5(b"".join(k.encode() + b"\0" + v for k, v in sorted(files.items()))).hexdigest()[:12]
+    root = os.path.join(_folder(spark), f"bucket-tree-{what}-{told}")
+    if os.path.isdir(root):
+        return root
+    aside = f"{root}-{uuid.uuid4().hex}"
+    for key, data in files.items():
+        put(aside, key, data)
+    return _made(aside, root)
+
+
+def tree(spark, sf_dir: str, what: str = "events") -> str:
+    """Root of the tree built from a table, built once per shared folder."""
+    folder = _folder(spark)
     name = f"bucket-tree-{what}-{hashlib.md5(sf_dir.encode()).hexdigest()[:12]}"
     root = os.path.join(folder, name)
     if os.path.isdir(root):
@@ -247,9 +272,4 @@ def tree(spark, sf_dir: str, what: str = "events") -> str:
     else:
         frame = spark.read.parquet(f"{sf_dir}/documents.parquet").where("text is not null").select("doc_id", "text").toPandas()
         build_documents(frame.itertuples(index=False, name=None), aside)
-    try:
-        os.rename(aside, root)
-    except OSError:
-        # Another process built it meanwhile.
-        shutil.rmtree(aside, ignore_errors=True)
-    return root
+    return _made(aside, root)
