@@ -235,15 +235,25 @@ def fragments(docs: DataFrame, like: Similarity, id_col: str, text_col: str, liv
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, empty = Shingler(like.words), np.zeros(0, np.uint64)
         ends = np.arange(1, WIDE, dtype=np.uint64) << np.uint64(64 - WIDE.bit_length() + 1)
+        # A task sends each class once, however many copies it reads.
+        texts: set[int] = set()
+        sent: set[bytes] = set()
         for batch in batches:
-            wanted = batch.column(0)
-            if known:
-                wanted = wanted.filter(pa.array(known.may_hold(batch.column(1).to_numpy().view(np.uint64))))
+            x = batch.column(1).to_numpy()
+            keep = known.may_hold(x.view(np.uint64)) if known else np.ones(len(x), bool)
+            for i in np.flatnonzero(keep).tolist():
+                if (own := int(x[i])) in texts:
+                    keep[i] = False
+                texts.add(own)
+            wanted = batch.column(0).filter(pa.array(keep))
             for first in range(0, len(wanted), 512):
                 node, number, size, lists = [], [], [], []
                 with np.errstate(over="ignore"):
                     for grams in tool.sets(wanted.slice(first, 512).to_pylist()):
                         digest = xxhash.xxh3_128_digest(grams.tobytes())
+                        if digest in sent:
+                            continue
+                        sent.add(digest)
                         for f, piece in enumerate(np.split(grams, np.searchsorted(grams, ends))):
                             if len(piece):
                                 node.append(digest)
