@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coldtide.llm.common import KeyFilter
-from coldtide.session import ship_code, staged
+from coldtide.session import drop, ship_code, staged
 
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 KEY = ["_k1", "_k2"]
@@ -170,6 +170,11 @@ def variants(words: list[str], pre: bool, suf: bool) -> tuple[list[np.ndarray],
     return keys, place < len(at), place == 2 * len(at)
 
 
+def ranked(texts: DataFrame) -> DataFrame:
+    """The candidates with numbers in the order of their first occurrences."""
+    return texts.orderBy("_first").withColumn("_rank", F.monotonically_increasing_id()).select(*KEY, "_line", "_pre", "_suf", "_rank")
+
+
 def near(texts: DataFrame) -> DataFrame:
     """Keys of the candidate lines with a near line before them."""
 
@@ -177,7 +182,7 @@ def near(texts: DataFrame) -> DataFrame:
         with np.errstate(over="ignore"):
             for batch in batches:
                 row, x, y, swap, whole = [], [], [], [], []
-                for at, (line, pre, suf) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), batch.column(5).to_pylist())):
+                for at, (line, pre, suf) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("_line", "_pre", "_suf")))):
                     keys, swaps, wholes = variants(line.split(" "), bool(pre), bool(suf))
                     row.append(np.full(len(swaps), at))
                     x.append(keys[0])
@@ -185,27 +190,25 @@ def near(texts: DataFrame) -> DataFrame:
                     swap.append(swaps)
                     whole.append(wholes)
                 if row:
-                    take = pa.array(np.concatenate(row))
-                    yield pa.RecordBatch.from_arrays([*(batch.column(i).take(take) for i in range(3)), signed(np.concatenate(x)), signed(np.concatenate(y)), pa.array(np.concatenate(swap)), pa.array(np.concatenate(whole))], [*KEY, "_first", "_x", "_y", "_swap", "_whole"])
+                    rank = batch.column("_rank").take(pa.array(np.concatenate(row)))
+                    yield pa.RecordBatch.from_arrays([rank, signed(np.concatenate(x)), signed(np.concatenate(y)), pa.array(np.concatenate(swap)), pa.array(np.concatenate(whole))], ["_rank", "_x", "_y", "_swap", "_whole"])
 
-    first = texts.schema["_first"].dataType.simpleString()
-    keyed = texts.select(*KEY, "_first", "_line", "_pre", "_suf").mapInArrow(emit, f"_k1 long, _k2 long, _first {first}, _x long, _y long, _swap boolean, _whole boolean")
-    mark = F.struct("_first", *KEY)
+    keyed = texts.select("_line", "_pre", "_suf", "_rank").mapInArrow(emit, "_rank long, _x long, _y long, _swap boolean, _whole boolean")
     key = ["_x", "_y", "_swap"]
-    groups = keyed.groupBy(*key).agg(F.min(mark).alias("_all"), F.max(mark).alias("_last"), F.min(F.when(F.col("_whole"), mark)).alias("_w"), F.min(F.when(~F.col("_whole"), mark)).alias("_d"))
-    groups = groups.where((F.col("_all") != F.col("_last")) & (F.col("_swap") | (F.col("_w").isNotNull() & F.col("_d").isNotNull()))).drop("_last")
-    partner = F.when(F.col("_swap"), F.col("_all")).when(F.col("_whole"), F.col("_d")).otherwise(F.col("_w"))
-    hits = keyed.join(groups, key).withColumn("_p", partner).where(F.col("_p._first") < F.col("_first"))
-    best = hits.groupBy(*KEY).agg(F.min("_p").alias("_p")).select(*KEY, F.col("_p._k1").alias("_p1"), F.col("_p._k2").alias("_p2"))
-    ours = texts.select(*KEY, F.col("_line").alias("_a"))
-    theirs = texts.select(F.col("_k1").alias("_p1"), F.col("_k2").alias("_p2"), F.col("_line").alias("_b"))
+    least = [F.min("_rank").alias("_all"), F.min(F.when(F.col("_whole"), F.col("_rank"))).alias("_w"), F.min(F.when(~F.col("_whole"), F.col("_rank"))).alias("_d")]
+    groups = keyed.groupBy(*key).agg(*least, F.max("_rank").alias("_last"))
+    groups = groups.where("_all <> _last and (_swap or (_w is not null and _d is not null))").drop("_last")
+    hits = keyed.join(groups, key).withColumn("_p", F.expr("case when _swap then _all when _whole then _d else _w end")).where("_p < _rank")
+    best = hits.groupBy("_rank").agg(F.min("_p").alias("_p"))
+    ours = texts.select("_rank", *KEY, F.col("_line").alias("_a"))
+    theirs = texts.select(F.col("_rank").alias("_p"), F.col("_line").alias("_b"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = [within_one(a.split(" "), b.split(" ")) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield batch.select(KEY).filter(pa.array(good, pa.bool_()))
 
-    return best.join(ours, KEY).join(theirs, ["_p1", "_p2"]).select(*KEY, "_a", "_b").mapInArrow(verify, "_k1 long, _k2 long")
+    return best.join(ours, "_rank").join(theirs, "_p").select(*KEY, "_a", "_b").mapInArrow(verify, "_k1 long, _k2 long")
 
 
 def within_one(a: list[str], b: list[str]) -> bool:
@@ -222,8 +225,12 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", nea
     """Per document that loses lines: _id, _t, numbers of equal and near lines."""
     ship_code(docs.sparkSession)
     table = staged(lines(docs, id_col, text_col, near_words), "lines")
-    texts = staged(_texts(docs, id_col, text_col, candidates(table)), "line-texts")
-    close = near(texts).withColumn("_near", F.lit(True))
+    found = candidates(table)
+    texts = staged(_texts(docs, id_col, text_col, found), "line-texts")
+    drop(found)
+    order = staged(ranked(texts), "ranked-lines")
+    drop(texts)
+    close = near(order).withColumn("_near", F.lit(True))
     first = table.groupBy(*KEY).agg(F.min(_first()).alias("_first"), F.count("*").alias("_n"))
     first = first.join(close, KEY, "left").where("_n > 1 or _near")
     hit = table.select("_id", "_t", "_pos", *KEY).join(first, KEY)
