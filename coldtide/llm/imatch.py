@@ -38,6 +38,8 @@ from coldtide.session import staged
 
 PER_RATE = 16
 RATES = (16, 64, 256, 1024, 4096)
+#: Bytes of text that one bucket of neighbouring ids may have, on average.
+BUCKET_BYTES = 1 << 30
 #: Punctuation that ends or joins words.
 STOPS = ".,;:!?\"()|"
 
@@ -97,22 +99,23 @@ def fingerprints(rows: DataFrame, keys: list[str], texts: list[str], words: Data
     ``keys`` tell rows apart. If the rows are already partitioned by a subset
     of ``keys``, nothing is shuffled: terms are exploded, looked up in the
     broadcast lexicon and gathered again inside their partition. A lexicon of
-    more than ``most`` terms is joined by shuffle instead.
+    more than ``most`` terms is joined by shuffle instead; the rows that head
+    the documents are spread over its tasks.
     """
     nothing = F.lit(None).cast(rows.select(F.struct(*payload, *(F.lit(0).cast("long").alias(f"_all{i}") for i in range(len(texts)))).alias("p")).schema["p"].dataType)
 
     def listed(found: list[Column]) -> Column:
         carried = F.struct(*payload, *(F.xxhash64(F.array_sort(t)).alias(f"_all{i}") for i, t in enumerate(found)))
-        head = F.array(F.struct(F.lit(-1).alias("v"), F.lit(0).cast("long").alias("h"), carried.alias("p")))
+        head = F.array(F.struct(F.lit(-1).alias("v"), F.xxhash64(*keys).alias("h"), carried.alias("p")))
         return F.concat(head, *(F.transform(t, lambda x: F.struct(F.lit(i).alias("v"), x.alias("h"), nothing.alias("p"))) for i, t in enumerate(found)))
 
     named = rows.select(*keys, *payload, *(terms(F.col(t)).alias(f"_terms{i}") for i, t in enumerate(texts)))
     flat = named.select(*keys, F.explode(listed([F.col(f"_terms{i}") for i in range(len(texts))])).alias("_x"))
     flat = flat.select(*keys, F.col("_x.v").alias("_v"), F.col("_x.h").alias("_h"), F.col("_x.p").alias("_p"))
-    # Hash 0 heads every document, so that those without a term stay.
-    words = words.where("_h <> 0").unionByName(words.sparkSession.range(1).select(F.lit(0).cast("long").alias("_h")))
+    # A row of no term heads every document, so that those without one stay.
+    words = words.withColumn("_known", F.lit(True))
     words = F.broadcast(words) if words.count() <= most else words
-    held = flat.join(words, "_h").where("_v < 0 or _h <> 0")
+    held = flat.join(words, "_h", "left").where("_v < 0 or _known")
     found = held.groupBy(*keys).agg(F.first("_p", ignorenulls=True).alias("_p"), *(F.collect_list(F.when(F.col("_v") == i, F.col("_h"))).alias(f"_in{i}") for i in range(len(texts))))
     return found.select(*keys, *(F.col(f"_p.{c}").alias(c) for c in payload), *(signature(F.col(f"_in{i}"), F.col(f"_p._all{i}")).alias(f"{t}_fingerprint") for i, t in enumerate(texts)))
 
@@ -121,7 +124,7 @@ def bucket_of(value: Column, cuts: list[float]) -> Column:
     """Number of ascending ``cuts`` at or below ``value``, by bisection."""
     if not cuts:
         return F.lit(0)
-    held = F.array(*(F.lit(x) for x in cuts))
+    held = F.split(F.lit(" ".join(map(repr, cuts))), " ").cast("array<double>")
 
     def step(state: Column, _: Column) -> Column:
         mid = F.floor((state["lo"] + state["hi"]) / 2).cast("int")
@@ -141,8 +144,9 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
     first row of the following bucket, whose own next text is not known), _id,
     _text, _next.
     """
-    spark = docs.sparkSession
-    buckets = buckets or 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not buckets:
+        held = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+        buckets = max(3 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(held / BUCKET_BYTES))
     rows = docs.select(docs[id_col].alias("_id"), F.coalesce(docs[text_col], F.lit("")).alias("_text")).withColumn("_t", F.xxhash64("_text"))
     ids = docs.select(docs[id_col].cast("double").alias("_d")).where("_d is not null")
     cuts = sorted(set(ids.approxQuantile("_d", [i / buckets for i in range(1, buckets)], 0.25 / buckets) or []))

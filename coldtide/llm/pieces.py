@@ -62,6 +62,8 @@ class MergeCodec:
         self._tables()
         self.memory: dict[str, str] = {}
         self.odd: dict[str, str] = {}
+        #: Segments whose ids the library has otherwise; its ids are used.
+        self.differing: set[str] = set()
         self.trusted = True
 
     def merge(self, text: str) -> list[int]:
@@ -204,6 +206,7 @@ class MergeCodec:
         for part, whole, ids, other in zip(parts, marked, self.merge_many(marked), self.library.encode(parts, num_threads=1)):
             other = other[self.lead :] if whole[0] != MARK else other
             if ids != other and part:
+                self.differing.add(part)
                 ids = other
             if (decoded := self.decode_part(ids)) != whole.replace(MARK, " "):
                 self.odd[part] = decoded
@@ -261,20 +264,22 @@ def chunks(texts: list[str], chars: int = 1 << 20) -> Iterator[list[str]]:
 
 
 def encoded(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """Id, token count and digests of each text's ids and decoded text.
+    """Id, token count and digests of each text's ids and decoded text, and
+    whether all its ids came of the agenda: where the library had others, they
+    are the library's, and the column ``by_agenda`` tells it.
 
     ``with_ids`` adds ``ids`` (array of int) and ``decoded``. No shuffle: one
     pass of Arrow batches over the scan.
     """
     ship_code(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_ids
+    schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, by_agenda boolean" + ", ids array<int>, decoded string" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(model_file)
         for batch in batches:
             texts = [x or "" for x in batch.column(1).to_pylist()]
-            n, ids_sum, text_sum, ids_of, text_of = [], [], [], [], []
+            n, ids_sum, text_sum, own, ids_of, text_of = [], [], [], [], [], []
             checked = False
             for part in chunks(texts):
                 for text, (ids, decoded) in zip(part, tool.encode_batch(part)):
@@ -284,16 +289,17 @@ def encoded(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col:
                             tool.trusted = False
                             again = tool.library.encode(text, num_threads=1)
                             ids, decoded = ",".join(map(str, again)), tool.library.decode(again)
+                    own.append(tool.trusted and (not tool.differing or tool.differing.isdisjoint(tool.segments(text))))
                     n.append(ids.count(",") + 1 if ids else 0)
                     ids_sum.append(hashlib.sha256(ids.encode()).hexdigest())
                     text_sum.append(hashlib.sha256(decoded.encode()).hexdigest())
                     if with_ids:
                         ids_of.append([int(x) for x in ids.split(",")] if ids else [])
                         text_of.append(decoded)
-            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sum, pa.string()), pa.array(text_sum, pa.string())]
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sum, pa.string()), pa.array(text_sum, pa.string()), pa.array(own, pa.bool_())]
             if with_ids:
                 columns += [pa.array(ids_of, pa.list_(pa.int32())), pa.array(text_of, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [id_col, "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: len(columns)])
+            yield pa.RecordBatch.from_arrays(columns, [id_col, "n_tokens", "ids_sha256", "decoded_sha256", "by_agenda", "ids", "decoded"][: len(columns)])
 
     return docs.select(docs[id_col].alias(id_col), F.col(text_col).alias("_text")).mapInArrow(run, schema)
 

@@ -181,6 +181,46 @@ def test_fingerprints(spark):
     assert like[0] == 1 and like[1] > 0.6 and like[2] < 0.45 and like[3] == 1 and like[4] == 0 and 0 <= like[5] < 0.2
 
 
+def brute_fingerprint(text, lexicon):
+    """The fingerprint by a second implementation of its hashes."""
+    import xxhash
+
+    def signed(x):
+        return x - (1 << 64) if x >> 63 else x
+
+    def folded(parts):
+        seed = 42
+        for raw in parts:
+            seed = xxhash.xxh64_intdigest(raw, seed)
+        return seed
+
+    eight, four = (lambda x, n=n: (x % (1 << 8 * n)).to_bytes(n, "little") for n in (8, 4))
+    plain = "".join(" " if c in imatch.STOPS else c for c in (text or "").lower())
+    found = sorted({signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in re.split(r"[\x20\x09-\x0D]+", plain) if w})
+    kept = [x for x in found if x in lexicon]
+    whole = hashlib.sha256(",".join(map(str, kept)).encode()).hexdigest()[:16] if kept else f"{folded(map(eight, found)):016x}"
+    out = f"{len(kept):08x}{whole}"
+    for level, rate in enumerate(imatch.RATES):
+        slot = {x: signed(folded([eight(x), four(level)])) % rate for x in kept}
+        for k in range(imatch.PER_RATE):
+            out += f"{folded(eight(x) for x in kept if slot[x] == k) & 0xFFFF:04x}"
+    return out
+
+
+def test_fingerprints_against_brute_force(spark):
+    rng = random.Random(12)
+    vocabulary = [f"W{i}" for i in range(300)] + ["é", "漢字", "a.b", "(x)"]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 150))) for _ in range(120)] + [None, "", "unseen words", "W1 w1\tW1\x0bw2", "w7 " * 60_000]
+    df = docs_of(spark, list(enumerate(texts)))
+    words = imatch.lexicon(df, min_share=0.05, max_share=0.6)
+    held = {r[0] for r in words.collect()}
+    counts = Counter(w for t in texts for w in {x for x in re.split(r"[\x20\x09-\x0D.,;:!?\"()|]+", (t or "").lower()) if x})
+    assert len(held) == sum(0.05 * len(texts) <= n <= 0.6 * len(texts) for n in counts.values()) > 50
+    out = imatch.fingerprints(df.select("doc_id", F.coalesce("text", F.lit("")).alias("own")), ["doc_id"], ["own"], words, [])
+    got = {r.doc_id: r.own_fingerprint for r in out.collect()}
+    assert got == {i: brute_fingerprint(t, held) for i, t in enumerate(texts)}
+
+
 def test_fingerprint_query(spark):
     d = "/root/testdata/sf0.001"
     got = {r.doc_id: r for r in imatch.op3(spark, d).collect()}

@@ -32,7 +32,7 @@ def test_pieces_equal_the_library(spark):
     assert len(got) == len(texts)
     for i, text in enumerate(texts):
         ids = library.encode(text or "")
-        assert got[i].ids == ids and got[i].n_tokens == len(ids) and got[i].decoded == library.decode(ids)
+        assert got[i].ids == ids and got[i].n_tokens == len(ids) and got[i].decoded == library.decode(ids) and got[i].by_agenda
         assert got[i].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert got[i].decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
 
@@ -46,6 +46,14 @@ def test_agenda_by_matrix_and_by_heap_agree():
     assert [x for x, _ in codec.encode_batch(["the the"])] == [",".join(map(str, codec.library.encode("the the")))]
 
 
+def test_a_broken_agenda_is_told(spark, monkeypatch):
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    broken = pieces.MergeCodec(model)
+    monkeypatch.setattr(broken, "merge_many", lambda words: [[5] for _ in words])
+    want = broken.library.encode("the river")
+    assert next(broken.encode_batch(["the river"]))[0] == ",".join(map(str, want)) and broken.differing == {"the", "river"}
+
+
 def test_pieces_of_empty_table_and_null_ids(spark):
     model = public_tokenizers.path("piece_bpe_32k.model")
     assert pieces.encoded(docs_of(spark, ["x"]).limit(0), model).count() == 0
