@@ -89,5 +89,8 @@ def read(spark: SparkSession, location: str, schema=None, **settings: Any) -> Da
         if parsed.layout == "flat" and parsed.discover_fields:
             # Planning runs in a process of its own per query, so the driver remembers.
             schema = flat_schema(list(dict.fromkeys(parsed.fields + discovered_fields(parsed))), parsed.columns)
+    if not {"split_bytes", "min_splits"} & {k.lower() for k, v in settings.items() if v is not None}:
+        # As Spark packs files: no core is left without a task.
+        settings["min_splits"] = spark.sparkContext.defaultParallelism
     reader = spark.read.format(NAME).options(**{k: str(v) for k, v in settings.items() if v is not None})
     return (reader.schema(schema) if schema is not None else reader).load(location)

@@ -27,6 +27,8 @@ from coldtide.sources.storage import FileStore, ObjectStore, open_store
 from coldtide.sources.streams import StreamError, chunks
 
 NAME = "coldbucket"
+#: Stored bytes that are worth a task of their own.
+LEAST_SPLIT = 4 << 20
 
 
 class BucketReadError(RuntimeError):
@@ -69,6 +71,13 @@ def grouped(buckets: list[Bucket], target: int) -> list[BucketPartition]:
     return out
 
 
+def split_target(settings: Settings, buckets: list[Bucket]) -> int:
+    """Stored bytes of a task: less than ``split_bytes`` if ``min_splits`` tasks
+    would else not come about."""
+    share = -(-sum(b.stored_bytes for b in buckets) // max(1, settings.min_splits))
+    return min(settings.split_bytes, max(LEAST_SPLIT, share)) if settings.min_splits > 1 else settings.split_bytes
+
+
 def _millis(value: object, up: bool) -> int | None:
     """A time literal in ms, rounded so that a bound never tightens."""
     if not isinstance(value, datetime):
@@ -106,7 +115,8 @@ class BucketReader(DataSourceReader):
     def partitions(self) -> list[BucketPartition]:
         store = open_store(self.settings)
         found = find_buckets(self.settings, store, ranges=self.bounds.prunes_time)
-        kept = grouped([b for b in found if self.bounds.keeps(b)], self.settings.split_bytes)
+        kept = [b for b in found if self.bounds.keeps(b)]
+        kept = grouped(kept, split_target(self.settings, kept))
         # Without a partition Spark would call read() for none.
         return kept or [BucketPartition(())]
 

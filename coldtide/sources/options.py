@@ -21,7 +21,7 @@ FIELD_PREFIX = "splunk.fields."
 ENVELOPE = "_datasource"
 
 #: Settings of this engine alone.
-OWN_KEYS = ("path", "location", "resource", "layout", "columns", "limit_per_split", "batch_rows", "batch_bytes", "split_bytes", "pushdown")
+OWN_KEYS = ("path", "location", "resource", "layout", "columns", "limit_per_split", "batch_rows", "batch_bytes", "split_bytes", "min_splits", "pushdown")
 
 
 class SettingError(ValueError):
@@ -92,6 +92,7 @@ class Settings:
     batch_rows: int = 1_000
     batch_bytes: int = 8 << 20
     split_bytes: int = 64 << 20
+    min_splits: int = 1
     pushdown: bool = True
 
     @property
@@ -194,7 +195,7 @@ def parse(location: str, settings: Mapping[str, Any]) -> Settings:
         layout=layout, columns=tuple(c.strip() for c in columns.split(",") if c.strip()) if columns else None,
         limit_per_split=None if limit is None or limit < 0 else limit,
         batch_rows=_whole(merged, "batch_rows", 1_000), batch_bytes=_whole(merged, "batch_bytes", 8 << 20),
-        split_bytes=_whole(merged, "split_bytes", 64 << 20), pushdown=_flag(merged, "pushdown", True),
+        split_bytes=_whole(merged, "split_bytes", 64 << 20), min_splits=_whole(merged, "min_splits", 1), pushdown=_flag(merged, "pushdown", True),
     )
 
 

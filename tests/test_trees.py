@@ -6,6 +6,9 @@ from differential import DIR, rows_of
 from coldtide import fixtures
 from coldtide.plans import edge_queries  # noqa: F401
 from coldtide.plans.queries import ORACLES, QUERIES
+from coldtide.sources import options
+from coldtide.sources.bucket_source import grouped, split_target
+from coldtide.sources.discovery import Bucket
 from coldtide.sources.journal import JournalDecoder
 from coldtide.sources.streams import chunks
 
@@ -82,3 +85,21 @@ def test_journals_of_several_parts(tmp_path, monkeypatch, codec):
     fixtures.put(str(tmp_path), "journal", fixtures.compressed(data, codec))
     assert b"".join(chunks(lambda key: open(tmp_path / key, "rb"), ("journal",))) == data
     assert os.listdir(tmp_path) == ["journal"]
+
+
+def test_batch_bounds_is_read_by_many_tasks(spark, fresh, monkeypatch):
+    seen = []
+    monkeypatch.setattr(edge_queries, "attempts", lambda spark, cases, run=edge_queries.attempts: seen.append(cases) or run(spark, cases))
+    QUERIES["batch_bounds"](spark, DIR)
+    per_case = {name: [c[2]["part"] for c in seen[0] if c[0] == name] for name in ("default", "by bytes", "small")}
+    assert per_case["default"] == [0]
+    assert per_case["small"] == per_case["by bytes"] == list(range(15))
+
+
+def test_no_core_is_left_without_a_split():
+    parsed = options.parse("file:///a", {"min_splits": "6"})
+    buckets = [Bucket("i", str(n), str(n), (), None, None, 3 << 20) for n in range(15)]
+    assert len(grouped(buckets, split_target(parsed, buckets))) >= 6
+    assert len(grouped(buckets[:1], split_target(parsed, buckets[:1]))) == 1
+    assert split_target(options.parse("file:///a", {}), buckets) == 64 << 20
+    assert split_target(options.parse("file:///a", {"min_splits": "6", "split_bytes": "1"}), buckets) == 1
