@@ -17,6 +17,7 @@ from coldtide.sources.storage import RAW_FOLDER, RECEIPT
 # Name patterns and folder names of the bucket layouts.
 CLASSIC = re.compile(r"(db|rb)_([0-9]+)_([0-9]+)_([0-9]+)(?:_(.+))?", re.ASCII)
 REMOTE = re.compile(r"([0-9]+)~(.+)", re.ASCII)
+HASH = re.compile(r"[0-9a-f]{2}", re.ASCII | re.IGNORECASE)
 HOMES = ("db", "colddb", "thaweddb")
 UPLOAD = "guidSplunk"
 DISABLED = "DISABLED"
@@ -69,6 +70,9 @@ def index_of(directory: str, root_name: str, pattern: str | None = None) -> str:
     if not directory:
         return root_name or "unknown"
     parts = directory.split("/")
+    if len(parts) > 3 and parts[-4] in HOMES and REMOTE.fullmatch(parts[-1]) and HASH.fullmatch(parts[-2]) and HASH.fullmatch(parts[-3]):
+        # The folders of a hash are no homes, not even that of 0xdb.
+        del parts[-3:]
     for at in range(len(parts) - 1, -1, -1):
         if parts[at] in HOMES:
             return parts[at - 1] if at else root_name

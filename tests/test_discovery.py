@@ -121,3 +121,11 @@ def test_only_a_classic_copy_replaces_a_replica():
     remote, primary = {f"a/db/x/y/3~{G}/guidSplunk-U/rawdata/journal.zst": 1}, {f"a/zdb/db_2_1_3_{G}/rawdata/journal.gz": 1}
     ids = lambda tree: [b.bucket_id for b in found(tree, index="a")]
     assert ids(rb | remote) == [f"rb_2_1_3_{G}"] and ids(rb | primary) == [f"db_2_1_3_{G}"] and ids(rb | remote | primary) == [f"db_2_1_3_{G}"]
+
+
+@pytest.mark.parametrize(
+    "directory, index",
+    [("sales/db/db/a7/219~G", "sales"), ("sales/db/a7/db/219~G", "sales"), ("sales/db/db/db/219~G", "sales"), ("db/db/a7/219~G", "root"), ("far/db/2a/12~G", "far"), ("db/db/12~G", "db"), ("sales/db/db/a7/other", "db")],
+)
+def test_a_hash_folder_named_db_is_no_home(directory, index):
+    assert index_of(directory, "root") == index
